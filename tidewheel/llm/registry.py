@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewheel.llm.bpe import op3_bpe_codec
 from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_bpe_codec": op3_bpe_codec,
         "op4_exact_dedup": op4_exact_dedup,
     }
