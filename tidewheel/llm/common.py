@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,6 +48,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let the driver notice that the plans of finished steps are garbage: Spark removes shuffle files only then."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Remove tables that no later read needs."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs

@@ -16,9 +16,11 @@ From signatures to components, without listing the pairs of a large group:
    same batch of rows meet there, and only one of them is passed on; so a signature that a third of all sets have gives a
    row for each batch, not for each set.
 2. Signatures are dealt by hash and sorted; a run of equal ones streams by, each set paired with the first of its run.
-3. These pairs are verified on the sets, exactly, and linked sets form components.
+3. Each set's pair with its smallest partner is verified on the sets, exactly, and linked sets form components; then the
+   other pairs whose ends are still apart.
 4. Runs that now hold a single component are done. In the others every pair of sets from different components is verified.
    This completes the join: each link joins two sets that share a signature, so it was verified or lies in one component.
+   Before sets are fetched, the counts of their shingles in 64 cells of the hash domain rule out most pairs that don't link.
 """
 
 from __future__ import annotations
@@ -125,9 +127,10 @@ def _emitter(width: int, num: int, den: int):
             first = np.flatnonzero(np.concatenate(([True], signature[1:] != signature[:-1])))
             length = np.diff(np.append(first, len(signature)))
             pivot = np.minimum.reduceat(owner, first)
+            sent = np.argsort(pivot, kind="stable")  # rows of a set side by side: shuffled blocks compress better
             for lo in range(0, len(first), 1 << 18):
-                part = slice(lo, lo + (1 << 18))
-                yield _rows(signature[first[part]], pivot[part], pa.nulls(len(first[part]), pa.binary()))
+                part = sent[lo : lo + (1 << 18)]
+                yield _rows(signature[first[part]], pivot[part], pa.nulls(len(part), pa.binary()))
             met = np.repeat(length > 1, length)
             if met.any():
                 member, shared, to = owner[met], signature[met], np.repeat(pivot, length)[met]
@@ -181,18 +184,37 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary()), pa.array(sets, pa.binary())], names=["set", "cells", "hashes"])
+
         for batch in batches:
             data, offsets = byte_view(batch.column(0))
-            ids, sets, held = [], [], 0
+            ids, cells, sets, held = [], [], [], 0
             for hashes in shingle_sets(data, offsets, width):
                 ids.append(set_id(hashes))
+                cells.append(np.minimum(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes())
                 sets.append(hashes.tobytes())
                 held += len(sets[-1])
-                if held > 1 << 24:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set", "hashes"])
-                    ids, sets, held = [], [], 0
+                if held > 1 << 23:
+                    yield flush()
+                    ids, cells, sets, held = [], [], [], 0
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set", "hashes"])
+                yield flush()
+
+    return run
+
+
+def _pruner(num: int, den: int):
+    """Drops pairs that cannot link: the counts of shingles in 64 cells of the hash domain differ by more than the symmetric difference may hold. Counts above 255 stand as 255, which only weakens the bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            p, q = (byte_view(batch.column(k))[0].reshape(-1, 64).astype(np.int32) for k in (4, 5))
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = pa.array(np.abs(p - q).sum(1) * (num + den) <= both * (den - num))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return run
 
@@ -222,6 +244,7 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text"))
     met = texts.where("doc_id is not null").mapInArrow(_emitter(width, num, den), EMITTED).repartition("key").sortWithinPartitions("key")
     staged = scratch.keep(met.mapInArrow(_meet, STAGED), "staged")
+    scratch.release()
     members = staged.where("kind = 1").select(F.col("b").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("set"))
     classes = scratch.keep(members.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("doc_id").alias("rep")), "classes")
     shared = scratch.keep(staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot")).distinct(), "shared")
@@ -230,38 +253,61 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     wanted = scratch.keep(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), "wanted")
     if wanted.count() <= few:  # 8 bytes each: small whatever the texts hold
         wanted = F.broadcast(wanted)
-    sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, hashes binary").dropDuplicates(["set"]), "sets")
+    sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, cells binary, hashes binary"), "sets")
+    outline = scratch.keep(classes.select("set", "n").join(sets.select("set", "cells").dropDuplicates(["set"]), "set"), "outline")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        one = sets.select(F.col("set").alias("a"), F.col("hashes").alias("p"))
-        two = sets.select(F.col("set").alias("b"), F.col("hashes").alias("q"))
-        return scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "p", "q").mapInArrow(_verifier(num, den), "a long, b long"), name)
-
-    size = classes.select(F.col("set"), "n")
-    stars = scratch.keep(shared.where("set <> pivot").select(F.least("set", "pivot").alias("a"), F.greatest("set", "pivot").alias("b")).distinct(), "stars")
-    linked = links(stars, "links-1")
-    component = connected(docs.sparkSession, linked, scratch, "cc1")
+        """The pairs (a, b) that link: first a bound from 64 counts, then the sets themselves."""
+        one, two = (outline.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab")
+        fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+        likely = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "n_a", "n_b", "cells_a", "cells_b").mapInArrow(_pruner(num, den), "a long, b long")
+        likely = scratch.keep(likely, f"{name}-likely")
+        one, two = (sets.select(F.col("set").alias(x), F.col("hashes").alias(y)) for x, y in ("ap", "bq"))
+        found = scratch.keep(likely.join(one, "a").join(two, "b").select("a", "b", "p", "q").mapInArrow(_verifier(num, den), "a long, b long"), name)
+        scratch.drop(f"{name}-likely")
+        scratch.release()
+        return found
+
+    def labelled(component: DataFrame) -> tuple[DataFrame, DataFrame]:
+        one, two = (component.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("set", "pivot"))
+        return one, two
+
+    spark = docs.sparkSession
+    others = shared.where("set <> pivot")
+    linked = links(others.groupBy(F.col("set").alias("a")).agg(F.min("pivot").alias("b")), "links-1")
+    component = connected(spark, linked, scratch, "cc1")
+
+    one, two = labelled(component)
+    apart = others.join(one, "set", "left").join(two, "pivot", "left").where(F.coalesce("label_set", "set") != F.coalesce("label_pivot", "pivot"))
+    more = links(apart.select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct(), "links-2")
+    component = grown(spark, component, more, scratch, "cc2")
 
     own = shared.select("signature", "set").distinct().join(component, F.col("set") == F.col("node"), "left").select("signature", "set", F.coalesce("label", "set").alias("label"))
     own = scratch.keep(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
-    opened = scratch.keep(own.join(split, "signature", "left_semi").join(size, "set"), "opened")
-    side = lambda s: opened.select(F.col("signature").alias(f"sig_{s}"), F.col("label").alias(f"label_{s}"), F.col("set").alias(s), F.col("n").alias(f"n_{s}"))
+    opened = scratch.keep(own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set"), "opened")
     labels = opened.groupBy("signature", "label").agg(F.min("n").alias("small"), F.max("n").alias("large"))
     left = labels.select("signature", F.col("label").alias("la"), F.col("small").alias("sa"), F.col("large").alias("ba"))
     right = labels.select("signature", F.col("label").alias("lb"), F.col("small").alias("sb"), F.col("large").alias("bb"))
     near = (F.col("la") < F.col("lb")) & (F.col("ba") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("sa") * num)
     meet = left.join(right, "signature").where(near).select("signature", "la", "lb")
-    cross = meet.join(side("u"), (F.col("signature") == F.col("sig_u")) & (F.col("la") == F.col("label_u"))).select("signature", "lb", "u", "n_u")
-    cross = cross.join(side("v"), (F.col("signature") == F.col("sig_v")) & (F.col("lb") == F.col("label_v")) & (F.col("n_u") * den >= F.col("n_v") * num) & (F.col("n_v") * den >= F.col("n_u") * num))
-    rest = cross.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = links(scratch.keep(rest, "rest"), "links-2")
-    if not more.isEmpty():
-        component = connected(docs.sparkSession, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), scratch, "cc2")
-    scratch.drop("shared", "wanted", "sets", "stars", "own", "opened", "rest", "links-1", "links-2")
+    side = lambda s: opened.select("signature", F.col("label").alias(f"l{s}"), F.col("set").alias(s), F.col("n").alias(f"n_{s}"))
+    cross = meet.join(side("a"), ["signature", "la"]).join(side("b"), ["signature", "lb"])
+    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+    rest = cross.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = links(rest, "links-3")
+    component = grown(spark, component, more, scratch, "cc3")
+    scratch.drop("shared", "wanted", "sets", "outline", "own", "opened", "links-1", "links-2", "links-3")
     return members, classes, component
 
 
+def grown(spark: SparkSession, component: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Components after more links."""
+    if links.isEmpty():
+        return component
+    return connected(spark, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links), scratch, name)
+
+
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """Documents with their near-duplicate component: doc_id, n_shingles long, component_id long.
 
