@@ -38,7 +38,9 @@ from tidewheel.llm.shingles import mix, set_id, shingle_sets
 #: First size of the second band; smaller sets use every shingle as a partition of its own.
 SMALL = 16
 EMITTED = "key long, a long, x binary"
-STAGED = "kind int, a long, b long, c long"
+STAGED = "kind int, a long, b long, c long, cells binary"
+#: Cells of the hash domain whose counts bound the symmetric difference.
+CELLS = 64
 
 
 class Signatures:
@@ -86,30 +88,40 @@ class Signatures:
         return np.concatenate((own, self._of_band(hashes, number, hi, min(hi, most))))
 
 
-def _packed(columns: list[np.ndarray]) -> pa.Array:
-    """Rows of 64-bit numbers as binary values."""
-    flat = np.ascontiguousarray(np.stack([c.astype(np.int64) for c in columns], 1))
-    offsets = np.arange(len(flat) + 1, dtype=np.int32) * 8 * len(columns)
+def _binary(flat: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    flat = np.ascontiguousarray(flat)
+    offsets = np.arange(len(flat) + 1, dtype=np.int32) * (flat.itemsize * flat.shape[1])
     return pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
 
 
+def _packed(columns: list[np.ndarray]) -> np.ndarray:
+    return np.stack([c.astype(np.int64) for c in columns], 1).view(np.uint8)
+
+
+def _cells(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes are in each cell, 255 for more."""
+    return np.minimum(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
+
+
 def _rows(key: np.ndarray, a: np.ndarray, x: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(a), x], names=["key", "a", "x"])
 
 
 def _emitter(width: int, num: int, den: int):
-    """Texts to rows: x null: signature key of set a; 16 bytes: a document's id and size, a its set; 24 bytes: a's pivot and the signature they share in a batch."""
+    """Texts to rows: x null: signature key of set a; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot and the signature they share in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme, seen = Signatures(num, den), set()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = byte_view(batch.column(1))
-            sets, sizes, found, of = [], [], [], []
+            sets, sizes, cells, found, of = [], [], [], [], []
             for hashes in shingle_sets(data, offsets, width):
                 own = set_id(hashes)
                 sets.append(own)
                 sizes.append(len(hashes))
+                cells.append(_cells(hashes))
                 if len(hashes) and own not in seen:
                     if len(seen) > 1 << 20:
                         seen.clear()
@@ -117,7 +129,9 @@ def _emitter(width: int, num: int, den: int):
                     found.append(scheme.of(hashes))
                     of.append(own)
             sets = np.array(sets, np.int64)
-            yield _rows(mix(ids.astype(np.int64).view(np.uint64)), sets, _packed([ids, np.array(sizes)]))
+            if not len(sets):
+                continue
+            yield _rows(mix(ids.astype(np.int64).view(np.uint64)), sets, _binary(np.concatenate((_packed([ids, np.array(sizes)]), np.array(cells)), 1)))
             if not found:
                 continue
             owner = np.repeat(np.array(of, np.int64), [len(f) for f in found])
@@ -134,7 +148,7 @@ def _emitter(width: int, num: int, den: int):
             met = np.repeat(length > 1, length)
             if met.any():
                 member, shared, to = owner[met], signature[met], np.repeat(pivot, length)[met]
-                yield _rows(mix(member.view(np.uint64) ^ shared), member, _packed([to, shared.view(np.int64), np.zeros(len(to))]))
+                yield _rows(mix(member.view(np.uint64) ^ shared), member, _binary(_packed([to, shared.view(np.int64), np.zeros(len(to))])))
 
     return run
 
@@ -152,11 +166,13 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = byte_view(x.take(pa.array(carried)))
             wide = np.diff(offsets)
             for kind, size in ((1, 16), (2, 24)):
-                which = np.flatnonzero(wide == size)
+                bare = kind == 2
+                which = np.flatnonzero(wide == (size if bare else size + CELLS))
                 if len(which):
                     numbers = data[(offsets[which][:, None] + np.arange(size)).ravel()].view(np.int64).reshape(len(which), size // 8)
+                    counts = pa.nulls(len(which), pa.binary()) if bare else _binary(data[(offsets[which][:, None] + size + np.arange(CELLS)).ravel()].reshape(-1, CELLS))
                     kinds.append(kind)
-                    parts.append((a[carried[which]], numbers[:, 0], numbers[:, 1]))
+                    parts.append((a[carried[which]], numbers[:, 0], numbers[:, 1], counts))
         keys, sets = batch.column(0).to_numpy()[plain], a[plain]
         if len(keys):
             fresh = np.concatenate(([keys[0] != key], keys[1:] != keys[:-1]))
@@ -166,40 +182,41 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             other = ~fresh & (sets != lead)
             if other.any():
                 kinds.append(2)
-                parts.append((sets[other], lead[other], keys[other]))
+                parts.append((sets[other], lead[other], keys[other], pa.nulls(int(other.sum()), pa.binary())))
                 runs_met, at = np.unique(runs[other], return_index=True)
                 if shown and runs_met[0] == -1:
                     at = at[1:]
                 kinds.append(2)
-                parts.append((lead[other][at], lead[other][at], keys[other][at]))
+                parts.append((lead[other][at], lead[other][at], keys[other][at], pa.nulls(len(at), pa.binary())))
             carries_on = runs[-1] == -1
             in_last = bool((other & (runs == runs[-1])).any())
             shown = (shown or in_last) if carries_on else in_last
             key, pivot = keys[-1], lead[-1]
         if parts:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(kinds, np.int32), [len(p[0]) for p in parts])), *(pa.array(np.concatenate([p[k] for p in parts])) for k in range(3))], names=["kind", "a", "b", "c"]
+                [
+                    pa.array(np.repeat(np.array(kinds, np.int32), [len(p[0]) for p in parts])),
+                    *(pa.array(np.concatenate([p[k] for p in parts])) for k in range(3)),
+                    pa.concat_arrays([p[3] for p in parts]),
+                ],
+                names=["kind", "a", "b", "c", "cells"],
             )
 
 
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(cells, pa.binary()), pa.array(sets, pa.binary())], names=["set", "cells", "hashes"])
-
         for batch in batches:
             data, offsets = byte_view(batch.column(0))
-            ids, cells, sets, held = [], [], [], 0
+            ids, sets, held = [], [], 0
             for hashes in shingle_sets(data, offsets, width):
                 ids.append(set_id(hashes))
-                cells.append(np.minimum(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes())
                 sets.append(hashes.tobytes())
                 held += len(sets[-1])
                 if held > 1 << 23:
-                    yield flush()
-                    ids, cells, sets, held = [], [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set", "hashes"])
+                    ids, sets, held = [], [], 0
             if ids:
-                yield flush()
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["set", "hashes"])
 
     return run
 
@@ -211,7 +228,7 @@ def _pruner(num: int, den: int):
         for batch in batches:
             if not len(batch):
                 continue
-            p, q = (byte_view(batch.column(k))[0].reshape(-1, 64).astype(np.int32) for k in (4, 5))
+            p, q = (byte_view(batch.column(k))[0].reshape(-1, CELLS).astype(np.int32) for k in (4, 5))
             both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
             keep = pa.array(np.abs(p - q).sum(1) * (num + den) <= both * (den - num))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
@@ -246,46 +263,43 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     staged = scratch.keep(met.mapInArrow(_meet, STAGED), "staged")
     scratch.release()
     members = staged.where("kind = 1").select(F.col("b").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("set"))
-    classes = scratch.keep(members.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("doc_id").alias("rep")), "classes")
-    shared = scratch.keep(staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot")).distinct(), "shared")
+    outline = staged.where("kind = 1 and c > 0").groupBy(F.col("a").alias("set")).agg(F.min("c").alias("n"), F.min("b").alias("rep"), F.min("cells").alias("cells"))
+    classes = scratch.keep(outline, "classes")
+    shared = staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot"))
 
-    nodes = shared.select("set").distinct()
-    wanted = scratch.keep(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), "wanted")
-    if wanted.count() <= few:  # 8 bytes each: small whatever the texts hold
-        wanted = F.broadcast(wanted)
-    sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, cells binary, hashes binary"), "sets")
-    outline = scratch.keep(classes.select("set", "n").join(sets.select("set", "cells").dropDuplicates(["set"]), "set"), "outline")
+    def likely(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b) without those that sizes and cell counts rule out."""
+        one, two = (classes.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab")
+        fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+        known = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+        return scratch.keep(known.mapInArrow(_pruner(num, den), "a long, b long"), name)
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that link: first a bound from 64 counts, then the sets themselves."""
-        one, two = (outline.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab")
-        fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-        likely = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "n_a", "n_b", "cells_a", "cells_b").mapInArrow(_pruner(num, den), "a long, b long")
-        likely = scratch.keep(likely, f"{name}-likely")
+        """The pairs that link, by their sets, which are made anew from the texts that are needed."""
+        nodes = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+        wanted = scratch.keep(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), f"{name}-wanted")
+        if wanted.count() <= few:  # 8 bytes each: small whatever the texts hold
+            wanted = F.broadcast(wanted)
+        sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, hashes binary"), f"{name}-sets")
         one, two = (sets.select(F.col("set").alias(x), F.col("hashes").alias(y)) for x, y in ("ap", "bq"))
-        found = scratch.keep(likely.join(one, "a").join(two, "b").select("a", "b", "p", "q").mapInArrow(_verifier(num, den), "a long, b long"), name)
-        scratch.drop(f"{name}-likely")
+        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "p", "q").mapInArrow(_verifier(num, den), "a long, b long"), name)
+        scratch.drop(f"{name}-wanted", f"{name}-sets")
         scratch.release()
         return found
 
-    def labelled(component: DataFrame) -> tuple[DataFrame, DataFrame]:
-        one, two = (component.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("set", "pivot"))
-        return one, two
-
     spark = docs.sparkSession
-    others = shared.where("set <> pivot")
-    linked = links(others.groupBy(F.col("set").alias("a")).agg(F.min("pivot").alias("b")), "links-1")
-    component = connected(spark, linked, scratch, "cc1")
-
-    one, two = labelled(component)
-    apart = others.join(one, "set", "left").join(two, "pivot", "left").where(F.coalesce("label_set", "set") != F.coalesce("label_pivot", "pivot"))
-    more = links(apart.select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct(), "links-2")
-    component = grown(spark, component, more, scratch, "cc2")
+    stars = likely(shared.where("set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
+    component = connected(spark, links(stars.groupBy("a").agg(F.min("b").alias("b")), "links-1"), scratch, "cc1")
+    one, two = (component.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+    apart = stars.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
+    component = grown(spark, component, scratch.keep(apart.select("a", "b"), "apart"), links, scratch, "2")
 
-    own = shared.select("signature", "set").distinct().join(component, F.col("set") == F.col("node"), "left").select("signature", "set", F.coalesce("label", "set").alias("label"))
+    own = shared.join(component, F.col("set") == F.col("node"), "left").select("signature", "set", F.coalesce("label", "set").alias("label")).distinct()
     own = scratch.keep(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
     opened = scratch.keep(own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set"), "opened")
+    scratch.drop("own")
+    scratch.release()
     labels = opened.groupBy("signature", "label").agg(F.min("n").alias("small"), F.max("n").alias("large"))
     left = labels.select("signature", F.col("label").alias("la"), F.col("small").alias("sa"), F.col("large").alias("ba"))
     right = labels.select("signature", F.col("label").alias("lb"), F.col("small").alias("sb"), F.col("large").alias("bb"))
@@ -294,18 +308,21 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     side = lambda s: opened.select("signature", F.col("label").alias(f"l{s}"), F.col("set").alias(s), F.col("n").alias(f"n_{s}"))
     cross = meet.join(side("a"), ["signature", "la"]).join(side("b"), ["signature", "lb"])
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-    rest = cross.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = links(rest, "links-3")
-    component = grown(spark, component, more, scratch, "cc3")
-    scratch.drop("shared", "wanted", "sets", "outline", "own", "opened", "links-1", "links-2", "links-3")
+    rest = likely(cross.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
+    component = grown(spark, component, rest, links, scratch, "3")
+    scratch.drop("stars", "apart", "opened", "rest", "links-1", "links-2", "links-3")
+    scratch.release()
     return members, classes, component
 
 
-def grown(spark: SparkSession, component: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Components after more links."""
-    if links.isEmpty():
+def grown(spark: SparkSession, component: DataFrame, pairs: DataFrame, links, scratch: Scratch, name: str) -> DataFrame:
+    """Components after the links among more pairs."""
+    if pairs.isEmpty():
+        return component
+    more = links(pairs, f"links-{name}")
+    if more.isEmpty():
         return component
-    return connected(spark, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links), scratch, name)
+    return connected(spark, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), scratch, f"cc{name}")
 
 
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
