@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewheel.llm.bpe import op3_bpe_codec
 from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tidewheel.llm.html_text import op7_html_text
 from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
+from tidewheel.llm.toxicity import op6_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +18,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_bpe_codec": op3_bpe_codec,
         "op4_exact_dedup": op4_exact_dedup,
+        "op6_toxicity": op6_toxicity,
+        "op7_html_text": op7_html_text,
     }
 
 

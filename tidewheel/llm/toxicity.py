@@ -23,7 +23,7 @@ from tidewheel.llm.shingles import CHUNK, mix, shingle_sets
 from tidewheel.llm.words import Words
 
 #: Fewest training documents (near copies count once) that a lexicon feature is in, and the most features.
-SUPPORT, FEATURES = 6, 20_000
+SUPPORT, FEATURES = 6, 3_000
 LEXICON_VOTERS = 24
 
 
@@ -112,7 +112,7 @@ def votes_of(texts: list[bytes], present: np.ndarray, strength: np.ndarray) -> n
     marks = np.array([t.count(b"!!") + t.count(b"***") for t in texts]) / size
     columns = [present[:, order[k::LEXICON_VOTERS]].any(1).astype(int) for k in range(min(LEXICON_VOTERS, len(order)))]
     columns += [np.where(hits >= least, 1, 0) for least in (2, 3, 5)] + [np.where(hits / size > d, 1, 0) for d in (1e-3, 5e-3)]
-    columns += [np.where(hits == 0, -1, 0), np.where(hits <= 1, -1, 0), np.where(shout > 0.6, 1, 0), np.where(marks > 0.01, 1, 0)]
+    columns += [np.where(hits == 0, -1, 0), np.where(shout > 0.6, 1, 0), np.where(marks > 0.01, 1, 0)]
     return np.stack(columns, 1)
 
 
@@ -146,24 +146,26 @@ def label_model(votes: np.ndarray, rounds: int = 40) -> np.ndarray:
     return post
 
 
-def fit_linear(present: np.ndarray, target: np.ndarray, rounds: int = 200, ridge: float = 1.0) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps; the penalty keeps weights finite on separable data."""
-    n, m = present.shape
+def fit_linear(present: np.ndarray, target: np.ndarray, rounds: int = 400, ridge: float = 0.02) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, both classes with equal weight, weights of lexicon features not below 0.
+
+    Accelerated gradient steps, each coordinate scaled by how many documents have it; the penalty keeps weights finite where
+    the classes can be told apart.
+    """
     x = present.astype(np.float32)
-    step = 4 * n / (max(1.0, float((x.sum(1) + 1).max())) * n)
-    w, b = np.zeros(m, np.float32), 0.0
-    prior = np.clip(target.mean(), 1e-3, 1 - 1e-3)
-    b = float(np.log(prior / (1 - prior)))
-    seen_w, seen_b = w, b
-    balance = np.where(target > 0.5, 0.5 / max(prior, 1e-3), 0.5 / (1 - prior))
+    prior = float(np.clip(target.mean(), 1e-3, 1 - 1e-3))
+    balance = (target * 0.5 / prior + (1 - target) * 0.5 / (1 - prior)) / len(target)
+    scale = 1 / (0.25 * (x.T @ balance) * max(1.0, float(x.sum(1).max()) / 4) + ridge / len(x.T))
+    w, b = np.zeros(x.shape[1], np.float32), 0.0
+    look_w, look_b = w, b
     for k in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ seen_w + seen_b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ look_w + look_b, -30, 30)))
         error = (p - target) * balance
-        new_w = seen_w - step * (x.T @ error + ridge * seen_w / 10) / n * 8
-        new_b = seen_b - step * error.mean() * 8
-        momentum = k / (k + 3)
-        seen_w, seen_b = new_w + momentum * (new_w - w), new_b + momentum * (new_b - b)
-        w, b = np.maximum(new_w, 0), float(new_b)
+        new_w = np.maximum(look_w - scale * (x.T @ error + ridge / len(x.T) * look_w), 0).astype(np.float32)
+        new_b = look_b - 0.5 * float(error.sum())
+        momentum = min(0.9, k / (k + 3))
+        look_w, look_b = new_w + momentum * (new_w - w), new_b + momentum * (new_b - b)
+        w, b = new_w, new_b
     return w, b
 
 
