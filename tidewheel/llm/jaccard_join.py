@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, byte_view, connected, table, utf8
+from tidewheel.llm.common import Scratch, byte_view, connected, slices, table, utf8
 from tidewheel.llm.shingles import mix, set_id, shingle_sets
 
 #: First size of the second band; smaller sets use every shingle as a partition of its own.
@@ -41,6 +41,8 @@ EMITTED = "key long, a long, x binary"
 STAGED = "kind int, a long, b long, c long, cells binary"
 #: Cells of the hash domain whose counts bound the symmetric difference.
 CELLS = 64
+#: Bytes of text whose signatures meet in a task before they are dealt.
+PORTION = 12 << 20
 
 
 class Signatures:
@@ -108,14 +110,21 @@ def _rows(key: np.ndarray, a: np.ndarray, x: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(a), x], names=["key", "a", "x"])
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (id, text) in portions of bounded text: ids, bytes, offsets."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        data, offsets = byte_view(batch.column(1))
+        for first, last in slices(offsets, PORTION):
+            yield ids[first:last], data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+
+
 def _emitter(width: int, num: int, den: int):
     """Texts to rows: x null: signature key of set a; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot and the signature they share in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme, seen = Signatures(num, den), set()
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = byte_view(batch.column(1))
+        for ids, data, offsets in _portions(batches):
             sets, sizes, cells, found, of = [], [], [], [], []
             for hashes in shingle_sets(data, offsets, width):
                 own = set_id(hashes)
@@ -123,7 +132,7 @@ def _emitter(width: int, num: int, den: int):
                 sizes.append(len(hashes))
                 cells.append(_cells(hashes))
                 if len(hashes) and own not in seen:
-                    if len(seen) > 1 << 20:
+                    if len(seen) > 1 << 18:
                         seen.clear()
                     seen.add(own)
                     found.append(scheme.of(hashes))
