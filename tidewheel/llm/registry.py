@@ -11,6 +11,7 @@ from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewheel.llm.html_text import op7_html_text
 from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
 from tidewheel.llm.toxicity import op6_toxicity
+from tidewheel.llm.warc import op10_warc_archives
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op6_toxicity": op6_toxicity,
         "op7_html_text": op7_html_text,
+        "op10_warc_archives": op10_warc_archives,
     }
 
 
