@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewheel.llm.bpe import op3_bpe_codec
+from tidewheel.llm.decontaminate import op5_decontamination
 from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewheel.llm.html_text import op7_html_text
 from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_bpe_codec": op3_bpe_codec,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_decontamination": op5_decontamination,
         "op6_toxicity": op6_toxicity,
         "op7_html_text": op7_html_text,
         "op10_warc_archives": op10_warc_archives,
