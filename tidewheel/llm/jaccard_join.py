@@ -20,7 +20,7 @@ From signatures to components, without listing the pairs of a large group:
    other pairs whose ends are still apart.
 4. Runs that now hold a single component are done. In the others every pair of sets from different components is verified.
    This completes the join: each link joins two sets that share a signature, so it was verified or lies in one component.
-   Before sets are fetched, the counts of their shingles in 64 cells of the hash domain rule out most pairs that don't link.
+   Before sets are fetched, the counts of their shingles in cells of the hash domain rule out most pairs that don't link.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from tidewheel.llm.shingles import mix, set_id, shingle_sets
 SMALL = 16
 EMITTED = "key long, a long, x binary"
 STAGED = "kind int, a long, b long, c long, cells binary"
-#: Cells of the hash domain whose counts bound the symmetric difference.
+#: Fewest cells of the hash domain whose counts bound the symmetric difference; larger sets have up to half as many as shingles.
 CELLS = 64
 #: Bytes of text whose signatures meet in a task before they are dealt.
 PORTION = 12 << 20
@@ -101,9 +101,10 @@ def _packed(columns: list[np.ndarray]) -> np.ndarray:
     return np.stack([c.astype(np.int64) for c in columns], 1).view(np.uint8)
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes are in each cell, 255 for more."""
-    return np.minimum(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
+def _cells(hashes: np.ndarray) -> bytes:
+    """How many hashes are in each cell, 255 for more; cells are a power of two."""
+    bits = max(6, (len(hashes) // 2).bit_length() - 1)
+    return np.minimum(np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
 def _rows(key: np.ndarray, a: np.ndarray, x: pa.Array) -> pa.RecordBatch:
@@ -140,7 +141,7 @@ def _emitter(width: int, num: int, den: int):
             sets = np.array(sets, np.int64)
             if not len(sets):
                 continue
-            yield _rows(mix(ids.astype(np.int64).view(np.uint64)), sets, _binary(np.concatenate((_packed([ids, np.array(sizes)]), np.array(cells)), 1)))
+            yield _rows(mix(ids.astype(np.int64).view(np.uint64)), sets, pa.array([head.tobytes() + own for head, own in zip(_packed([ids, np.array(sizes)]), cells, strict=True)], pa.binary()))
             if not found:
                 continue
             owner = np.repeat(np.array(of, np.int64), [len(f) for f in found])
@@ -175,13 +176,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = byte_view(x.take(pa.array(carried)))
             wide = np.diff(offsets)
             for kind, size in ((1, 16), (2, 24)):
-                bare = kind == 2
-                which = np.flatnonzero(wide == (size if bare else size + CELLS))
+                which = np.flatnonzero((wide == 24) if kind == 2 else (wide != 24))
                 if len(which):
                     numbers = data[(offsets[which][:, None] + np.arange(size)).ravel()].view(np.int64).reshape(len(which), size // 8)
-                    counts = pa.nulls(len(which), pa.binary()) if bare else _binary(data[(offsets[which][:, None] + size + np.arange(CELLS)).ravel()].reshape(-1, CELLS))
+                    counts = [None if kind == 2 else data[offsets[k] + size : offsets[k + 1]].tobytes() for k in which]
                     kinds.append(kind)
-                    parts.append((a[carried[which]], numbers[:, 0], numbers[:, 1], counts))
+                    parts.append((a[carried[which]], numbers[:, 0], numbers[:, 1], pa.array(counts, pa.binary())))
         keys, sets = batch.column(0).to_numpy()[plain], a[plain]
         if len(keys):
             fresh = np.concatenate(([keys[0] != key], keys[1:] != keys[:-1]))
@@ -231,15 +231,17 @@ def _sets_of(width: int):
 
 
 def _pruner(num: int, den: int):
-    """Drops pairs that cannot link: the counts of shingles in 64 cells of the hash domain differ by more than the symmetric difference may hold. Counts above 255 stand as 255, which only weakens the bound."""
+    """Drops pairs that cannot link: the counts of shingles in the cells of the hash domain differ by more than the symmetric difference may hold. Counts above 255 stand as 255, which only weakens the bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            p, q = (byte_view(batch.column(k))[0].reshape(-1, CELLS).astype(np.int32) for k in (4, 5))
-            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            keep = pa.array(np.abs(p - q).sum(1) * (num + den) <= both * (den - num))
+            most = (batch.column(2).to_numpy() + batch.column(3).to_numpy()) * (den - num) // (num + den)
+            good = []
+            for p, q, k in zip(batch.column(4), batch.column(5), most.tolist(), strict=True):
+                p, q = (np.frombuffer(z.as_buffer(), np.uint8).astype(np.int32) for z in (p, q))
+                n = min(len(p), len(q))
+                good.append(int(np.abs(p.reshape(n, -1).sum(1) - q.reshape(n, -1).sum(1)).sum()) <= k)
+            keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return run
