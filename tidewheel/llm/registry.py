@@ -11,6 +11,7 @@ from tidewheel.llm.decontaminate import op5_decontamination
 from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewheel.llm.html_text import op7_html_text
 from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
+from tidewheel.llm.pii import op2_pii_surrogates
 from tidewheel.llm.toxicity import op6_toxicity
 from tidewheel.llm.warc import op10_warc_archives
 
@@ -18,6 +19,7 @@ from tidewheel.llm.warc import op10_warc_archives
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_pii_surrogates": op2_pii_surrogates,
         "op3_bpe_codec": op3_bpe_codec,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_decontamination": op5_decontamination,
