@@ -88,6 +88,16 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         first = min(last, n)
 
 
+def without(docs: DataFrame, losers: DataFrame, scratch: Scratch, name: str, key: str = "doc_id", few: int = 1_000_000) -> DataFrame:
+    """The rows of docs whose key isn't among the losers (one column of distinct longs); all columns. Rows without key stay.
+
+    Up to `few` losers (8 bytes each) are broadcast, so the texts stay where they are; more are met in a shuffled join.
+    """
+    gone = scratch.keep(losers.toDF("__gone"), name)
+    small = gone.count() <= few
+    return docs.join(F.broadcast(gone) if small else gone, F.col(key) == F.col("__gone"), "left_anti")
+
+
 def connected(spark: SparkSession, links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """Components of undirected links (a long, b long): (node, label), label the smallest node reachable.
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, table, utf8
+from tidewheel.llm.common import Scratch, table, utf8, without
 
 LEAF = "doc_id long, digest binary, n_bytes long, proof long"
 
@@ -82,10 +82,11 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest", fan_in: int = 8, id
 
 
 def keep_one(docs: DataFrame, keep: str = "largest", fan_in: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay; all columns. Of rows that repeat id and text one stays."""
-    verdict = exact_duplicates(docs, keep, fan_in, id_col, text).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    stay = docs.join(verdict, docs[id_col].eqNullSafe(F.col("__keep")), "left_semi")
-    return stay.dropDuplicates([id_col])
+    """The rows of docs that stay; all columns. A doc_id that repeats stays if one of its texts does, and once for each text."""
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    verdict = scratch.keep(exact_duplicates(docs, keep, fan_in, id_col, text).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdict")
+    stay = without(docs, verdict.where("not kept").select("doc_id"), scratch, "losers", id_col)
+    return stay if verdict.where("n > 1").isEmpty() else stay.dropDuplicates([id_col, text])
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ from tidewheel.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidewheel.llm.html_text import op7_html_text
 from tidewheel.llm.jaccard_join import op1_ngram_jaccard_join
 from tidewheel.llm.pii import op2_pii_surrogates
+from tidewheel.llm.quality import op9_quality
+from tidewheel.llm.token_counts import op8_token_counts
 from tidewheel.llm.toxicity import op6_toxicity
 from tidewheel.llm.warc import op10_warc_archives
 
@@ -25,6 +27,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": op5_decontamination,
         "op6_toxicity": op6_toxicity,
         "op7_html_text": op7_html_text,
+        "op8_token_counts": op8_token_counts,
+        "op9_quality": op9_quality,
         "op10_warc_archives": op10_warc_archives,
     }
 
