@@ -1,14 +1,13 @@
 """N-gram Jaccard join with PartEnum signatures.
 
-Sets of similar size fall into bands [lo, 2 lo). For two sets r, s with Jaccard similarity of at least t, the symmetric
-difference holds at most k = (|r| + |s|)(1 - t)/(1 + t) shingles. In a band, the domain of shingle hashes is cut into
-partitions; a subset of partitions that the difference leaves untouched looks the same in both sets. With as many partitions
-as there are, the subsets to enumerate are single partitions, and each that isn't empty gives a signature: band, partition
-and a hash of the set's shingles in it. k shingles touch k partitions at most, so of the signatures of r all but k are also
-signatures of s. Hence, with one order of signatures for all sets, the first k + 1 of each suffice: similar sets share one
-of these. The order takes partitions with many shingles first, which rarely agree by chance. A set whose partitions happen to
-leave it k signatures or fewer also gets the signature `unlucky` of its band; two similar sets share a signature if either
-has enough, and this one if neither has. A set also emits signatures for the next band if a partner may be there.
+Sets of similar size fall into bands [lo, 2 lo), and a signature belongs to a band. In it the domain of shingle hashes is cut
+into partitions, and subsets of partitions that r and s must have in common are enumerated. The cut is the finest one, each
+shingle a partition of its own, and the subsets are single partitions: with coarser ones a shingle that only s has spoils a
+partition of r, so twice as many may differ and twice as many signatures are needed. (At this end of its parameters PartEnum
+is a prefix filter.) r and s with a Jaccard similarity of at least num / den agree in
+a = ceil(num (|r| + |s|) / (num + den)) shingles, so of one order of all shingles the first |r| - a + 1 of r and the first
+|s| - a + 1 of s share one. The order takes rare shingles first and those that are common in the corpus last. A set emits
+signatures for its own band, for any partner that is not larger or in the band, and for the next band if a partner may be there.
 
 From signatures to components, without listing the pairs of a large group:
 
@@ -16,8 +15,8 @@ From signatures to components, without listing the pairs of a large group:
    same batch of rows meet there, and only one of them is passed on; so a signature that a third of all sets have gives a
    row for each batch, not for each set.
 2. Signatures are dealt by hash and sorted; a run of equal ones streams by, each set paired with the first of its run.
-3. Each set's pair with its smallest partner is verified on the sets, exactly, and linked sets form components; then the
-   other pairs whose ends are still apart.
+3. Each set's pair with its most central partner, the one that meets most others, is verified on the sets, exactly, and
+   linked sets form components; then the pairs of a run's first with its others, where they are still apart.
 4. Runs that now hold a single component are done. In the others every pair of sets from different components is verified.
    This completes the join: each link joins two sets that share a signature, so it was verified or lies in one component.
    Before sets are fetched, the counts of their shingles in cells of the hash domain rule out most pairs that don't link.
@@ -38,7 +37,7 @@ from tidewheel.llm.shingles import mix, set_id, shingle_sets
 #: First size of the second band; smaller sets use every shingle as a partition of its own.
 SMALL = 16
 EMITTED = "key long, a long, x binary"
-STAGED = "kind int, a long, b long, c long, cells binary"
+STAGED = "kind int, a long, b long, c long, left long, cells binary"
 #: Fewest cells of the hash domain whose counts bound the symmetric difference; larger sets have up to half as many as shingles.
 CELLS = 64
 #: Bytes of text whose signatures meet in a task before they are dealt.
@@ -48,8 +47,8 @@ PORTION = 12 << 20
 class Signatures:
     """Signatures of one set; t = num / den."""
 
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
+    def __init__(self, num: int, den: int, common: np.ndarray):
+        self.num, self.den, self.common = num, den, common
 
     def band(self, size: int) -> tuple[int, int, int]:
         """(number, smallest size, largest size) of a size's band."""
@@ -59,35 +58,25 @@ class Signatures:
         lo = SMALL << (number - 1)
         return number, lo, 2 * lo - 1
 
-    def _partitions(self, number: int, hi: int) -> int:
-        return int(hi / (1.5 if number <= 2 else 2 if number == 3 else 2.5)) + 1
-
-    def _of_band(self, hashes: np.ndarray, number: int, hi: int, partner: int) -> np.ndarray:
-        k = (len(hashes) + partner) * (self.den - self.num) // (self.den + self.num)
-        salt = np.uint64((number + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)
-        if number == 0:
-            counts, found = np.ones(len(hashes), np.int64), mix(hashes ^ salt)
-        else:
-            where = (hashes >> np.uint64(32)) * np.uint64(self._partitions(number, hi)) >> np.uint64(32)
-            first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
-            counts = np.diff(np.append(first, len(hashes)))
-            found = mix(np.add.reduceat(mix(hashes ^ salt), first) + where[first])
-        ordered = ((255 - np.minimum(counts, 255)).astype(np.uint64) << np.uint64(56)) | (found >> np.uint64(8))
-        if len(ordered) > k + 1:
-            return np.partition(ordered, k)[: k + 1]
-        return ordered if len(ordered) == k + 1 else np.append(ordered, mix(np.array([salt])))
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
+    def _first(self, order: np.ndarray, hashes: np.ndarray, smallest: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures in a band for partners of at least `smallest` shingles, and how many shingles of the order are left from each on."""
         n = len(hashes)
-        if not n:
-            return np.zeros(0, np.uint64)
+        agree = -(-self.num * (n + smallest) // (self.num + self.den))
+        chosen = order[: max(0, n - agree + 1)]
+        return mix(hashes[chosen] ^ np.uint64((number + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)), n - np.arange(len(chosen))
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(hashes)
+        place = mix(hashes) >> np.uint64(1)
+        if len(self.common):
+            often = self.common[np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)] == hashes
+            place |= often.astype(np.uint64) << np.uint64(63)
+        order = np.argsort(place)
         number, _, hi = self.band(n)
-        most = n * self.den // self.num
-        own = self._of_band(hashes, number, hi, min(hi, most))
-        if most <= hi:
+        own = self._first(order, hashes, -(-n * self.num // self.den), number)
+        if n * self.den // self.num <= hi:
             return own
-        number, _, hi = self.band(hi + 1)
-        return np.concatenate((own, self._of_band(hashes, number, hi, min(hi, most))))
+        return tuple(map(np.concatenate, zip(own, self._first(order, hashes, hi + 1, number + 1), strict=True)))
 
 
 def _binary(flat: np.ndarray) -> pa.Array:
@@ -120,11 +109,31 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
             yield ids[first:last], data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
 
 
-def _emitter(width: int, num: int, den: int):
-    """Texts to rows: x null: signature key of set a; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot and the signature they share in a batch."""
+def _often(width: int, least: int):
+    """Shingles of at least `least` different sets of a portion, with their number; every portion of the corpus is counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in _portions(batches):
+            sets = {set_id(hashes): hashes for hashes in shingle_sets(data, offsets, width)}
+            found, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
+            often = counts >= least
+            yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
+
+    return run
+
+
+def common_shingles(texts: DataFrame, width: int, least: int = 3, total: int = 12, most: int = 200_000) -> np.ndarray:
+    """The most frequent shingles of the corpus, at most `most` (8 bytes each to every task). They only decide the order of signatures: any list gives the same links."""
+    counted = texts.mapInArrow(_often(width, least), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= total)
+    top = counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toPandas()  # bounded by `most`
+    return np.sort(top["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def _emitter(width: int, num: int, den: int, common):
+    """Texts to rows: 8 bytes: signature key of set a, and the shingles left; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot, the signature that they share in a batch, and the shingles left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scheme, seen = Signatures(num, den), set()
+        scheme, seen = Signatures(num, den, common.value), set()
         for ids, data, offsets in _portions(batches):
             sets, sizes, cells, found, of = [], [], [], [], []
             for hashes in shingle_sets(data, offsets, width):
@@ -144,71 +153,71 @@ def _emitter(width: int, num: int, den: int):
             yield _rows(mix(ids.astype(np.int64).view(np.uint64)), sets, pa.array([head.tobytes() + own for head, own in zip(_packed([ids, np.array(sizes)]), cells, strict=True)], pa.binary()))
             if not found:
                 continue
-            owner = np.repeat(np.array(of, np.int64), [len(f) for f in found])
-            signature = np.concatenate(found)
-            order = np.argsort(signature)
-            signature, owner = signature[order], owner[order]
+            owner = np.repeat(np.array(of, np.int64), [len(f) for f, _ in found])
+            signature, left = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((owner, signature))
+            signature, owner, left = signature[order], owner[order], left[order]
             first = np.flatnonzero(np.concatenate(([True], signature[1:] != signature[:-1])))
             length = np.diff(np.append(first, len(signature)))
-            pivot = np.minimum.reduceat(owner, first)
+            pivot = owner[first]
             sent = np.argsort(pivot, kind="stable")  # rows of a set side by side: shuffled blocks compress better
             for lo in range(0, len(first), 1 << 18):
                 part = sent[lo : lo + (1 << 18)]
-                yield _rows(signature[first[part]], pivot[part], pa.nulls(len(part), pa.binary()))
+                yield _rows(signature[first[part]], pivot[part], _binary(_packed([left[first[part]]])))
             met = np.repeat(length > 1, length)
             if met.any():
                 member, shared, to = owner[met], signature[met], np.repeat(pivot, length)[met]
-                yield _rows(mix(member.view(np.uint64) ^ shared), member, _binary(_packed([to, shared.view(np.int64), np.zeros(len(to))])))
+                yield _rows(mix(member.view(np.uint64) ^ shared), member, _binary(_packed([to, shared.view(np.int64), left[met]])))
 
     return run
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key to staged rows: kind 1: document b of size c has set a; kind 2: set a shares signature c with its pivot b."""
-    key, pivot, shown = None, 0, False
+    key, pivot, pivot_left, shown = None, 0, 0, False
     for batch in batches:
-        x = batch.column(2)
+        data, offsets = byte_view(batch.column(2))
+        wide = np.diff(offsets)
         a = batch.column(1).to_numpy()
-        plain = x.is_null().to_numpy(zero_copy_only=False)
-        kinds, parts = [], []
-        if not plain.all():
-            carried = np.flatnonzero(~plain)
-            data, offsets = byte_view(x.take(pa.array(carried)))
-            wide = np.diff(offsets)
-            for kind, size in ((1, 16), (2, 24)):
-                which = np.flatnonzero((wide == 24) if kind == 2 else (wide != 24))
-                if len(which):
-                    numbers = data[(offsets[which][:, None] + np.arange(size)).ravel()].view(np.int64).reshape(len(which), size // 8)
-                    counts = [None if kind == 2 else data[offsets[k] + size : offsets[k + 1]].tobytes() for k in which]
-                    kinds.append(kind)
-                    parts.append((a[carried[which]], numbers[:, 0], numbers[:, 1], pa.array(counts, pa.binary())))
-        keys, sets = batch.column(0).to_numpy()[plain], a[plain]
-        if len(keys):
+        parts = []  # kind, a, b, c, left, cells
+
+        def numbers(which: np.ndarray, size: int) -> np.ndarray:
+            return data[(offsets[which][:, None] + np.arange(size)).ravel()].view(np.int64).reshape(len(which), size // 8)
+
+        which = np.flatnonzero((wide != 8) & (wide != 24))
+        if len(which):
+            own = numbers(which, 16)
+            cells = pa.array([data[offsets[k] + 16 : offsets[k + 1]].tobytes() for k in which], pa.binary())
+            parts.append((1, a[which], own[:, 0], own[:, 1], np.zeros(len(which), np.int64), cells))
+        which = np.flatnonzero(wide == 24)
+        if len(which):
+            own = numbers(which, 24)
+            parts.append((2, a[which], own[:, 0], own[:, 1], own[:, 2], pa.nulls(len(which), pa.binary())))
+        which = np.flatnonzero(wide == 8)
+        if len(which):
+            keys, sets, left = batch.column(0).to_numpy()[which], a[which], numbers(which, 8)[:, 0]
             fresh = np.concatenate(([keys[0] != key], keys[1:] != keys[:-1]))
-            runs = np.cumsum(fresh) - 1  # -1: the run of the batch before
-            heads = sets[fresh]
-            lead = np.where(runs < 0, pivot, heads[np.maximum(runs, 0)] if len(heads) else pivot)
+            runs = np.cumsum(fresh)  # 0: the run of the batch before
+            heads, heads_left = np.append(pivot, sets[fresh]), np.append(pivot_left, left[fresh])
+            lead, lead_left = heads[runs], heads_left[runs]
             other = ~fresh & (sets != lead)
             if other.any():
-                kinds.append(2)
-                parts.append((sets[other], lead[other], keys[other], pa.nulls(int(other.sum()), pa.binary())))
+                parts.append((2, sets[other], lead[other], keys[other], left[other], pa.nulls(int(other.sum()), pa.binary())))
                 runs_met, at = np.unique(runs[other], return_index=True)
-                if shown and runs_met[0] == -1:
+                if shown and runs_met[0] == 0:
                     at = at[1:]
-                kinds.append(2)
-                parts.append((lead[other][at], lead[other][at], keys[other][at], pa.nulls(len(at), pa.binary())))
-            carries_on = runs[-1] == -1
+                parts.append((2, lead[other][at], lead[other][at], keys[other][at], lead_left[other][at], pa.nulls(len(at), pa.binary())))
             in_last = bool((other & (runs == runs[-1])).any())
-            shown = (shown or in_last) if carries_on else in_last
-            key, pivot = keys[-1], lead[-1]
+            shown = (shown and runs[-1] == 0) or in_last
+            key, pivot, pivot_left = keys[-1], lead[-1], lead_left[-1]
         if parts:
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(np.array(kinds, np.int32), [len(p[0]) for p in parts])),
-                    *(pa.array(np.concatenate([p[k] for p in parts])) for k in range(3)),
-                    pa.concat_arrays([p[3] for p in parts]),
+                    pa.array(np.repeat(np.array([p[0] for p in parts], np.int32), [len(p[1]) for p in parts])),
+                    *(pa.array(np.concatenate([p[k] for p in parts])) for k in range(1, 5)),
+                    pa.concat_arrays([p[5] for p in parts]),
                 ],
-                names=["kind", "a", "b", "c", "cells"],
+                names=["kind", "a", "b", "c", "left", "cells"],
             )
 
 
@@ -270,13 +279,16 @@ def _verifier(num: int, den: int):
 def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: int, few: int = 1_000_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members: doc_id, n, set), (classes: set, n, rep) and (component: node, label) over the sets that have links."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text"))
-    met = texts.where("doc_id is not null").mapInArrow(_emitter(width, num, den), EMITTED).repartition("key").sortWithinPartitions("key")
+    texts = texts.where("doc_id is not null")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
+    scratch.release()
+    met = texts.mapInArrow(_emitter(width, num, den, common), EMITTED).repartition("key").sortWithinPartitions("key")
     staged = scratch.keep(met.mapInArrow(_meet, STAGED), "staged")
     scratch.release()
     members = staged.where("kind = 1").select(F.col("b").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("set"))
     outline = staged.where("kind = 1 and c > 0").groupBy(F.col("a").alias("set")).agg(F.min("c").alias("n"), F.min("b").alias("rep"), F.min("cells").alias("cells"))
     classes = scratch.keep(outline, "classes")
-    shared = staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot"))
+    shared = staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot"), "left")
 
     def likely(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (a, b) without those that sizes and cell counts rule out."""
@@ -299,29 +311,39 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
         return found
 
     spark = docs.sparkSession
-    stars = likely(shared.where("set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
-    component = connected(spark, links(stars.groupBy("a").agg(F.min("b").alias("b")), "links-1"), scratch, "cc1")
+    # partners first: in each run the set that meets most others, which is the likeliest centre of a group
+    met_by = shared.groupBy("signature").agg(F.count("*").alias("met"))
+    weight = scratch.keep(shared.join(met_by, "signature").groupBy("set").agg(F.sum("met").alias("weight")), "weight")
+    centre = shared.join(weight, "set").groupBy("signature").agg(F.max(F.struct("weight", "set")).alias("centre"))
+    nearest = shared.join(centre, "signature").where(F.col("set") != F.col("centre.set")).groupBy("set").agg(F.max("centre").alias("centre"))
+    first = likely(nearest.select(F.col("set").alias("a"), F.col("centre.set").alias("b")), "first")
+    component = connected(spark, links(first, "links-1"), scratch, "cc1")
+    pairs = shared.where("set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct()
     one, two = (component.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-    apart = stars.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-    component = grown(spark, component, scratch.keep(apart.select("a", "b"), "apart"), links, scratch, "2")
+    apart = pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
+    component = grown(spark, component, likely(apart.select("a", "b"), "apart"), links, scratch, "2")
+    scratch.release()
 
-    own = shared.join(component, F.col("set") == F.col("node"), "left").select("signature", "set", F.coalesce("label", "set").alias("label")).distinct()
+    own = shared.join(component, F.col("set") == F.col("node"), "left").groupBy("signature", "set").agg(F.max("left").alias("left"), F.first(F.coalesce("label", "set")).alias("label"))
     own = scratch.keep(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
     opened = scratch.keep(own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set"), "opened")
-    scratch.drop("own")
+    scratch.drop("own", "weight")
     scratch.release()
-    labels = opened.groupBy("signature", "label").agg(F.min("n").alias("small"), F.max("n").alias("large"))
-    left = labels.select("signature", F.col("label").alias("la"), F.col("small").alias("sa"), F.col("large").alias("ba"))
-    right = labels.select("signature", F.col("label").alias("lb"), F.col("small").alias("sb"), F.col("large").alias("bb"))
-    near = (F.col("la") < F.col("lb")) & (F.col("ba") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("sa") * num)
-    meet = left.join(right, "signature").where(near).select("signature", "la", "lb")
-    side = lambda s: opened.select("signature", F.col("label").alias(f"l{s}"), F.col("set").alias(s), F.col("n").alias(f"n_{s}"))
-    cross = meet.join(side("a"), ["signature", "la"]).join(side("b"), ["signature", "lb"])
-    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-    rest = likely(cross.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
+    # sets whose first common signature this is agree in what is left at most; where that is too little, another signature or none joins them
+    enough = lambda x, y, p, q: F.least(x, y) * (num + den) >= (F.col(p) + F.col(q)) * num
+    labels = opened.groupBy("signature", "label").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max("left").alias("left"))
+    of = lambda x: labels.select("signature", F.col("label").alias(f"l{x}"), F.col("small").alias(f"s{x}"), F.col("large").alias(f"b{x}"), F.col("left").alias(f"r{x}"))
+    near = (F.col("la") < F.col("lb")) & (F.col("ba") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("sa") * num) & enough("ra", "rb", "sa", "sb")
+    one, two = of("a"), of("b").withColumnRenamed("signature", "run")
+    meet = one.join(two, (F.col("signature") == F.col("run")) & near).select("run", "la", "lb", "sb", "rb")
+    side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("label").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"))
+    cross = meet.join(side("a"), (F.col("run") == F.col("run_a")) & (F.col("la") == F.col("of_a")) & enough("r_a", "rb", "n_a", "sb"))
+    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & enough("r_a", "r_b", "n_a", "n_b")
+    cross = cross.join(side("b"), (F.col("run") == F.col("run_b")) & (F.col("lb") == F.col("of_b")) & fits)
+    rest = likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
     component = grown(spark, component, rest, links, scratch, "3")
-    scratch.drop("stars", "apart", "opened", "rest", "links-1", "links-2", "links-3")
+    scratch.drop("first", "apart", "opened", "rest", "links-1", "links-2", "links-3")
     scratch.release()
     return members, classes, component
 
