@@ -116,31 +116,29 @@ def votes_of(texts: list[bytes], present: np.ndarray, strength: np.ndarray) -> n
     return np.stack(columns, 1)
 
 
-def label_model(votes: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """Posterior probability of label 1 from votes alone.
+def label_model(votes: np.ndarray, share: float, rounds: int = 40) -> np.ndarray:
+    """Posterior probability of label 1 from the votes and the share of label 1.
 
-    Rates of each vote given the label and the share of label 1 by expectation maximisation. Voter j's evidence counts
-    1 / (1 + sum of its positive correlations with the others given the label).
+    Rates of each vote given the label by expectation maximisation, started from any vote for 1 against none. Voter j's
+    evidence counts 1 / (1 + the sum of its correlations above 0.3 with the others given the label), a tenth at least.
     """
     n, m = votes.shape
     cases = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-    post = np.clip(0.5 + votes.sum(1) / (2 * m), 0.02, 0.98)
-    post = np.where(votes.sum(1) > 0, np.maximum(post, 0.9), np.minimum(post, 0.1))
-    weight = np.full(m, 1 / m)
+    post = np.where((votes > 0).any(1), 0.9, 0.02)
+    weight = np.full(m, 0.5)
     for step in range(rounds):
-        share = np.clip(post.mean(), 1e-3, 1 - 1e-3)
         rates = []
         for p in (1 - post, post):
             counts = np.einsum("n,nmv->mv", p, cases) + 0.5
             rates.append(counts / counts.sum(1, keepdims=True))
-        if step % 5 == 0:
+        if step % 10 == 0:
             excess = np.zeros((m, m))
             for p, rate in zip((1 - post, post), rates, strict=True):
                 centred = (votes - rate @ np.array([-1, 0, 1])) * np.sqrt(p)[:, None]
                 cov = centred.T @ centred
                 spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                excess += np.clip(cov / np.outer(spread, spread), 0, 1) * p.mean()
-            weight = 1 / np.maximum(1, excess.sum(1))
+                excess += np.clip(cov / np.outer(spread, spread) - 0.3, 0, 1) * p.mean()
+            weight = np.clip(1 / (1 + excess.sum(1) - np.diag(excess)), 0.1, 1)
         gain = np.einsum("nmv,mv,m->n", cases, np.log(rates[1]) - np.log(rates[0]), weight)
         post = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + gain, -30, 30)))
     return post
@@ -183,7 +181,7 @@ def fit(texts: list[bytes], labels: list[int]) -> ToxicModel:
         return ToxicModel(features, np.zeros(0), float(np.log(share / (1 - share))))
     present = np.zeros((len(texts), len(features)), bool)
     present[ToxicModel(features, np.zeros(len(features)), 0.0).hits(data, offsets)] = True
-    post = label_model(votes_of(texts, present, strength))
+    post = label_model(votes_of(texts, present, strength), share)
     weights, bias = fit_linear(present, post)
     return ToxicModel(features, weights.astype(float), min(bias, -0.5))
 
