@@ -47,8 +47,8 @@ PORTION = 12 << 20
 class Signatures:
     """Signatures of one set; t = num / den."""
 
-    def __init__(self, num: int, den: int, common: np.ndarray):
-        self.num, self.den, self.common = num, den, common
+    def __init__(self, num: int, den: int, common: np.ndarray, level: np.ndarray):
+        self.num, self.den, self.common, self.level = num, den, common, level
 
     def band(self, size: int) -> tuple[int, int, int]:
         """(number, smallest size, largest size) of a size's band."""
@@ -67,10 +67,10 @@ class Signatures:
 
     def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(hashes)
-        place = mix(hashes) >> np.uint64(1)
+        place = mix(hashes) >> np.uint64(8)
         if len(self.common):
-            often = self.common[np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)] == hashes
-            place |= often.astype(np.uint64) << np.uint64(63)
+            at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
+            place |= np.where(self.common[at] == hashes, self.level[at], 0).astype(np.uint64) << np.uint64(56)
         order = np.argsort(place)
         number, _, hi = self.band(n)
         own = self._first(order, hashes, -(-n * self.num // self.den), number)
@@ -122,18 +122,20 @@ def _often(width: int, least: int):
     return run
 
 
-def common_shingles(texts: DataFrame, width: int, least: int = 3, total: int = 12, most: int = 200_000) -> np.ndarray:
-    """The most frequent shingles of the corpus, at most `most` (8 bytes each to every task). They only decide the order of signatures: any list gives the same links."""
+def common_shingles(texts: DataFrame, width: int, least: int = 2, total: int = 6, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of the corpus, at most `most` (16 bytes each to every task), and a level that rises with their number. They only decide the order of signatures: any list gives the same links."""
     counted = texts.mapInArrow(_often(width, least), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= total)
-    top = counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toPandas()  # bounded by `most`
-    return np.sort(top["shingle"].to_numpy(np.int64).view(np.uint64))
+    top = counted.orderBy(F.desc("n"), "shingle").limit(most).toPandas()  # bounded by `most`
+    found, n = top["shingle"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.argsort(found)
+    return found[order], np.minimum(255, 4 * np.log2(np.maximum(n[order], 2))).astype(np.uint8)
 
 
 def _emitter(width: int, num: int, den: int, common):
     """Texts to rows: 8 bytes: signature key of set a, and the shingles left; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot, the signature that they share in a batch, and the shingles left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scheme, seen = Signatures(num, den, common.value), set()
+        scheme, seen = Signatures(num, den, *common.value), set()
         for ids, data, offsets in _portions(batches):
             sets, sizes, cells, found, of = [], [], [], [], []
             for hashes in shingle_sets(data, offsets, width):
@@ -336,9 +338,10 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     of = lambda x: labels.select("signature", F.col("label").alias(f"l{x}"), F.col("small").alias(f"s{x}"), F.col("large").alias(f"b{x}"), F.col("left").alias(f"r{x}"))
     near = (F.col("la") < F.col("lb")) & (F.col("ba") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("sa") * num) & enough("ra", "rb", "sa", "sb")
     one, two = of("a"), of("b").withColumnRenamed("signature", "run")
-    meet = one.join(two, (F.col("signature") == F.col("run")) & near).select("run", "la", "lb", "sb", "rb")
+    meet = one.join(two, (F.col("signature") == F.col("run")) & near).select("run", "la", "lb", "sb", "bb", "rb")
     side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("label").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"))
-    cross = meet.join(side("a"), (F.col("run") == F.col("run_a")) & (F.col("la") == F.col("of_a")) & enough("r_a", "rb", "n_a", "sb"))
+    may = (F.col("n_a") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("n_a") * num) & enough("r_a", "rb", "n_a", "sb")
+    cross = meet.join(side("a"), (F.col("run") == F.col("run_a")) & (F.col("la") == F.col("of_a")) & may)
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & enough("r_a", "r_b", "n_a", "n_b")
     cross = cross.join(side("b"), (F.col("run") == F.col("run_b")) & (F.col("lb") == F.col("of_b")) & fits)
     rest = likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
