@@ -212,9 +212,7 @@ def assign(entities: DataFrame, key: str, scratch: Scratch, rounds: int = 60) ->
         repeated = now.join(first, "fresh").where(F.struct("attempt", "kind", "norm") != F.col("first")).select("kind", "norm")
         taken = now.join(known, "fresh", "left_semi").select("kind", "norm")
         again = repeated.union(taken).distinct().withColumn("clash", F.lit(True))
-        again = scratch.keep(again, f"clash-{step}")
         if again.isEmpty():
-            scratch.drop(*(f"clash-{k}" for k in range(1, step + 1)))
             return now
         bumped = now.join(again, ["kind", "norm"], "left").withColumn("attempt", F.col("attempt") + F.coalesce(F.col("clash").cast("int"), F.lit(0)))
         fresh = F.when(F.col("clash"), surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))).otherwise(F.col("fresh"))
@@ -237,7 +235,6 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY, few: int = 200_000) ->
     searched = docs.select(*columns).withColumn("__hits", hits)
     numbered = scratch.keep(searched.where("__hits is not null").withColumn("__row", F.monotonically_increasing_id()), "touched")
     spots = numbered.select(F.explode(F.array_distinct("__hits")).alias("entity")).distinct()  # one row for an entity of the corpus
-    spots = scratch.keep(spots, "spots")
     units = spots.select("entity", F.posexplode(units_of(F.col("entity"))).alias("at", "unit")).select("entity", "at", "unit.*")
     units = scratch.keep(units, "units")
     fresh = assign(units.select("kind", "norm").distinct(), key, scratch)
@@ -245,7 +242,7 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY, few: int = 200_000) ->
     whole = spelled.groupBy("entity").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda s: s["new"]), " ").alias("new"), F.max("kind").alias("kind"))
     person = F.col("kind").isin("given_f", "given_m", "surname")
     whole = scratch.keep(whole.select("entity", F.when(person, F.concat(F.substring_index("entity", " ", 1), F.lit(" "), F.col("new"))).otherwise(F.col("new")).alias("new")), "mapping")
-    scratch.drop("spots", "units")
+    scratch.drop("units")
 
     pieces = F.split(F.col("text"), ANY, -1)
     own = numbered.select("__row", F.explode(F.array_distinct("__hits")).alias("entity"))
