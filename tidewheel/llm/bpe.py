@@ -24,7 +24,7 @@ from tidewheel.llm.common import table, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Longer pieces are encoded anew each time; the cache holds as many pieces at most.
-CACHED_CHARS, CACHED_PIECES = 48, 400_000
+CACHED_CHARS, CACHED_PIECES = 48, 250_000
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -41,7 +41,7 @@ STAGED = "kind int, a long, b long, c long, left long, cells binary"
 #: Fewest cells of the hash domain whose counts bound the symmetric difference; larger sets have up to half as many as shingles.
 CELLS = 64
 #: Bytes of text whose signatures meet in a task before they are dealt.
-PORTION = 12 << 20
+PORTION = 4 << 20
 
 
 class Signatures:
