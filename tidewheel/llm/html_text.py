@@ -171,10 +171,11 @@ def learned(pages=LABELLED) -> dict[str, float]:
     total = [sum(c.values()) for c in (inside, outside)]
     odds = {k: math.log((inside[k] + 0.5) / total[0]) - math.log((outside[k] + 0.5) / total[1]) for k in kinds}
     positive = max(odds["word"], 0.1)
-    found = {"word": 1.0, "word:link": max(-1.0, min(1.0, odds["word:link"] / positive)), "word:bad": min(-1.0, odds["word:bad"] / positive)}
+    found = {"word": 1.0, "word:link": max(-1.0, min(1.0, odds["word:link"] / positive)), "word:bad": max(-0.25, min(-0.1, odds["word:bad"] / positive))}
     # a tag costs less than the word that it may stand around
     found |= {k: -0.45 / (1 + math.exp(odds[k])) for k in ("tag:inline", "tag:paragraph", "tag:list")}
-    return found | {k: -2.0 / (1 + math.exp(min(0.0, odds[k]))) for k in ("tag:structure", "tag:bad")}
+    # a notice inside the text must not cost more than the paragraph after it
+    return found | {"tag:structure": -2.0 / (1 + math.exp(min(0.0, odds["tag:structure"]))), "tag:bad": -0.5 / (1 + math.exp(min(0.0, odds["tag:bad"])))}
 
 
 WEIGHTS = learned()
