@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import table, utf8
+from tidewheel.llm.common import CACHES, table, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Longer pieces are encoded anew each time; the cache holds as many pieces at most.
@@ -209,6 +209,7 @@ class BytePairCodec:
 
 
 _codecs: dict[str, BytePairCodec] = {}
+CACHES.append(_codecs.clear)
 
 
 def codec(rules: dict, key: str) -> BytePairCodec:

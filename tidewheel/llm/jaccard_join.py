@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, byte_view, connected, slices, table, utf8
+from tidewheel.llm.common import Scratch, byte_view, connected, lean_worker, slices, table, utf8
 from tidewheel.llm.shingles import mix, set_id, shingle_sets
 
 #: First size of the second band; smaller sets use every shingle as a partition of its own.
@@ -113,6 +113,7 @@ def _often(width: int, least: int):
     """Shingles of at least `least` different sets of a portion, with their number; every portion of the corpus is counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for _, data, offsets in _portions(batches):
             sets = {set_id(hashes): hashes for hashes in shingle_sets(data, offsets, width)}
             found, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
@@ -135,6 +136,7 @@ def _emitter(width: int, num: int, den: int, common):
     """Texts to rows: 8 bytes: signature key of set a, and the shingles left; 16 bytes and the cells: a document's id and size, a its set; 24 bytes: a's pivot, the signature that they share in a batch, and the shingles left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         scheme, seen = Signatures(num, den, *common.value), set()
         for ids, data, offsets in _portions(batches):
             sets, sizes, cells, found, of = [], [], [], [], []
@@ -176,6 +178,7 @@ def _emitter(width: int, num: int, den: int, common):
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key to staged rows: kind 1: document b of size c has set a; kind 2: set a shares signature c with its pivot b."""
+    lean_worker()
     key, pivot, pivot_left, shown = None, 0, 0, False
     for batch in batches:
         data, offsets = byte_view(batch.column(2))
@@ -225,6 +228,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             data, offsets = byte_view(batch.column(0))
             ids, sets, held = [], [], 0
@@ -245,6 +249,7 @@ def _pruner(num: int, den: int):
     """Drops pairs that cannot link: the counts of shingles in the cells of the hash domain differ by more than the symmetric difference may hold. Counts above 255 stand as 255, which only weakens the bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             most = (batch.column(2).to_numpy() + batch.column(3).to_numpy()) * (den - num) // (num + den)
             good = []
@@ -260,6 +265,7 @@ def _pruner(num: int, den: int):
 
 def _verifier(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             good = []
             for p, q in zip(batch.column(2), batch.column(3), strict=True):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, table, utf8
+from tidewheel.llm.common import CACHES, Scratch, table, utf8
 from tidewheel.llm.exact_dedup import exact_duplicates
 
 GROUP = ("source", "lang", "tokenizer")
@@ -95,6 +95,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 _encodings: dict[str, object] = {}
+CACHES.append(_encodings.clear)
 
 
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import byte_view, slices, table, utf8
+from tidewheel.llm.common import byte_view, lean_worker, slices, table, utf8
 from tidewheel.llm.shingles import CHUNK, mix, shingle_sets
 from tidewheel.llm.words import Words
 
@@ -207,6 +207,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | N
     model = spark.sparkContext.broadcast(fit(*training_rows(source, labels, max_train)))  # FEATURES bounds it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             data, offsets = byte_view(batch.column(2))
             score = model.value.scores(data, offsets)
@@ -225,6 +226,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             text = batch.column(at)
             score = model.value.scores(*byte_view(text.cast(pa.binary() if pa.types.is_string(text.type) else pa.large_binary()).fill_null(b"")))
