@@ -147,16 +147,20 @@ class Collector:
         dates = [r.dt for r in raw.select("dt").distinct().orderBy("dt").collect()]
         total = raw.select("line").union(own.select("line")).agg(F.sum(line_bytes(F.col("line")))).first()[0] or 0
         if len(dates) == 1 and total > cap:
-            events = events_to_trim(raw, own, cap).persist()
+            # written down, as a cache of it would be dropped and made anew once the views below are rewritten
+            name = f".trim-{uuid.uuid4().hex}"
+            found = events_to_trim(raw, own, cap)
+            found.write.parquet(self.store.path(name))
+            events = self.spark.read.schema(found.schema).parquet(self.store.path(name))
             trimmed = events.count()
             if trimmed:
                 kept = kept_raw(raw, events)
                 self.store.overwrite(kept.where("view = 'office'").select(F.col("line").alias("value"), "dt"), "raw", ["dt"])
                 self.store.overwrite(kept.where("view <> 'office'").select(F.col("line").alias("value"), F.col("team").alias("team_safe"), "dt"), "team_raw", ["team_safe", "dt"])
                 self.store.overwrite(kept_sessions(own, events).select(F.col("line").alias("value"), F.col("team").alias("team_safe"), "dt"), "sessions", ["team_safe", "dt"])
-                newest = events.orderBy(F.desc("stream_id")).limit(100).collect()
+                newest = events.orderBy(parse_id(F.col("stream_id")).desc()).limit(100).collect()
                 entries += [{"when": self._stamp(), "scope": "today", "stream_id": r.stream_id, "bytes_freed": r.bytes_freed} for r in reversed(newest)]
-            events.unpersist()
+            self.store.delete(name)
         if entries:
             checkpoint.append_drop_log(self.state_dir, entries)
         return {"dates_deleted": len(gone), "events_trimmed": trimmed}
