@@ -100,12 +100,12 @@ def _rows(key: np.ndarray, a: np.ndarray, x: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(a), x], names=["key", "a", "x"])
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _portions(batches: Iterator[pa.RecordBatch], size: int = PORTION) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rows (id, text) in portions of bounded text: ids, bytes, offsets."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         data, offsets = byte_view(batch.column(1))
-        for first, last in slices(offsets, PORTION):
+        for first, last in slices(offsets, size):
             yield ids[first:last], data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
 
 
@@ -114,7 +114,7 @@ def _often(width: int, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
-        for _, data, offsets in _portions(batches):
+        for _, data, offsets in _portions(batches, 3 * PORTION):
             sets = {set_id(hashes): hashes for hashes in shingle_sets(data, offsets, width)}
             found, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
             often = counts >= least
