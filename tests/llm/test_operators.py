@@ -190,6 +190,24 @@ def test_html_blocks(box):
     assert html_text.extract(PAGE % (box % BODY)) == ["A head & tail", "One two three.", "é中 five six seven eight nine ten eleven.", "End of it here."]
 
 
+def test_html_articles_beside_the_story():
+    card = "<article><h3><a href=x>Other tale %d</a></h3><p>A short teaser.</p></article>"
+    story = "<div><h1>A head</h1>" + "<p>One two three four five six seven eight nine ten eleven twelve.</p>" * 4 + "</div>"
+    want = ["A head"] + ["One two three four five six seven eight nine ten eleven twelve."] * 4
+    cards = "".join(card % k for k in range(4))
+    for page in (cards + story, story + cards, cards + story + cards):
+        assert html_text.extract(PAGE % page) == want
+    remarks = "<div><p>Short remark outside.</p></div>"
+    posts = f"<article>{BODY}</article>{remarks}<nav>{'menu words ' * 99}</nav><article><p>And a reply.</p></article>"
+    assert html_text.extract(PAGE % (remarks + posts + remarks))[-2:] == ["End of it here.", "And a reply."]
+    assert not any("remark" in b for b in html_text.extract(PAGE % (remarks + posts + remarks)))
+
+
+def test_html_scan_decides_inside_an_article():
+    links = "<ul>" + "<li><a href=x>Link to some other page</a></li>" * 9 + "</ul>"
+    assert html_text.extract(f"<main><div>{links}</div><div>{BODY}</div></main>") == ["A head & tail", "One two three.", "é中 five six seven eight nine ten eleven.", "End of it here."]
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "just words & more"), (4, "u", "<p>a<p>b"), (4, "u", "<p>a<p>b"), (5, "u", "<div " * 2000), (6, "u", "<nav>only menu</nav>")]
     got = [tuple(r) for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]

@@ -4,7 +4,11 @@ A page is a sequence of tokens: words and tags. Words score positive and tags ne
 pages: for each kind of token the smoothed log-odds of standing in the content. A word's kind is what surrounds it (plain
 text, link, boilerplate element), a tag's kind is its role (inline, paragraph, list, structure, boilerplate). One linear scan
 (Kadane's) finds the best contiguous region; blocks of the region that lie in menus, notices, adverts, forms or reader
-comments are left out, the rest are the text. Where a page marks its article, the scan runs inside that element.
+comments are left out, the rest are the text.
+
+Every page is scanned whole. Where a page marks articles, the story stands in them or they are cards beside it: the side whose
+own best region scores higher is the story's, a word in an article counting as much more as labelled pages tell. Text of the
+other side scores like boilerplate. If the story is in articles, what lies between them costs nothing and is left out.
 """
 
 from __future__ import annotations
@@ -159,9 +163,23 @@ LABELLED = (
      ("<aside>More stories for you</aside><div><a href=x>Next</a> <a href=x>Previous</a></div>", False)),
 )
 
+#: Labelled pages on which articles stand beside other text: they tell how much more a word in an article counts.
+MARKED = (
+    (("<article><h2>The last ferry</h2><p>It left the pier at nine with two cars and a dog, and nobody saw the lights go out behind the island.</p><p>In the morning the dog was back.</p></article>", True),
+     ("<div><p>I was there and it was foggy.</p><p>Me too, what a night!</p></div>", False)),
+    (("<article><h3>Ten soups</h3><p>Warm and quick.</p></article><article><h3>A new mill</h3><p>Opens in June.</p></article>", False),
+     ("<div><h1>Snow in the valley</h1><p>The pass was closed on Friday, and the school with it, for the first time in eleven years.</p></div>", True)),
+)
+
 
-def learned(pages=LABELLED) -> dict[str, float]:
-    """Weight of each kind of token: smoothed log-odds of content, words kept above 0 in plain text, tags below 0."""
+def learned(pages=LABELLED, marked=MARKED) -> dict[str, float]:
+    """Weight of each kind of token: smoothed log-odds of content, words kept above 0 in plain text, tags below 0; 'article': what a word in an article counts against one outside, 1 at least."""
+    sides = {(side, content): 0.5 for side in (True, False) for content in (True, False)}
+    for page in marked:
+        for markup, content in page:
+            for piece in tokens(markup):
+                sides[bool(piece.article), content] += piece.words
+    share = {side: sides[side, True] / (sides[side, True] + sides[side, False]) for side in (True, False)}
     inside, outside = Counter(), Counter()
     for page in pages:
         for markup, content in page:
@@ -175,7 +193,7 @@ def learned(pages=LABELLED) -> dict[str, float]:
     # a tag costs less than the word that it may stand around
     found |= {k: -0.45 / (1 + math.exp(odds[k])) for k in ("tag:inline", "tag:paragraph", "tag:list")}
     # a notice inside the text must not cost more than the paragraph after it
-    return found | {"tag:structure": -2.0 / (1 + math.exp(min(0.0, odds["tag:structure"]))), "tag:bad": -0.5 / (1 + math.exp(min(0.0, odds["tag:bad"])))}
+    return found | {"article": max(1.0, share[True] / share[False]), "tag:structure": -2.0 / (1 + math.exp(min(0.0, odds["tag:structure"]))), "tag:bad": -0.5 / (1 + math.exp(min(0.0, odds["tag:bad"])))}
 
 
 WEIGHTS = learned()
@@ -207,18 +225,27 @@ def blocks_of(pieces: list[Piece]) -> list[str]:
     return found
 
 
+def scored(pieces: list[Piece], weights: dict[str, float]) -> list[float]:
+    return [weights[p.kind] * (p.words if p.text else 1) for p in pieces]
+
+
 def extract(page: str, weights: dict[str, float] = WEIGHTS) -> list[str]:
     """The blocks of a page's main text."""
     pieces = list(tokens(page))
-    words = Counter()
-    for piece in pieces:
-        if piece.article and not piece.bad:
-            words[piece.article] += piece.words
-    if words:
-        # marked articles: all of them that hold text are content, in page order
-        return blocks_of([p for p in pieces if p.article and words[p.article]])
-    first, last = best_region([weights[p.kind] * (p.words if p.text else 1) for p in pieces])
-    return blocks_of(pieces[first:last])
+    scores = scored(pieces, weights)
+    marked = [k for k, p in enumerate(pieces) if p.article]
+    inside = False
+    if marked:
+        own, rest = [scores[k] for k in marked], [s for s, p in zip(scores, pieces) if not p.article]
+        (a, b), (c, d) = best_region(own), best_region(rest)
+        inside = b > a and weights["article"] * sum(own[a:b]) >= sum(rest[c:d])
+        for k, piece in enumerate(pieces):
+            if inside and not piece.article:
+                scores[k] = 0.0 if marked[0] < k < marked[-1] else min(scores[k], weights["word:bad"])
+            elif not inside and piece.article and piece.text:
+                scores[k] = min(scores[k], weights["word:bad"] * piece.words)
+    first, last = best_region(scores)
+    return blocks_of([p for p in pieces[first:last] if p.article or not inside])
 
 
 def extract_pages(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
