@@ -159,6 +159,18 @@ def test_pii_surrogates_stay_distinct(spark):
     assert not {r.fresh for r in got} & {r.norm for r in got}
 
 
+def test_pii_formats_widen(spark):
+    from tidewheel.llm.common import Scratch
+
+    rows = [("given_f", f"Na{chr(97 + k // 26)}{chr(97 + k % 26)}") for k in range(26 * 26)] + [("ip", f"192.168.{a}.{b}") for a in range(1, 10) for b in range(1, 10)]
+    rows += [("email", f"a@x{k}.com") for k in range(40)] + [("phone", f"+9912{k:02d}") for k in range(100)] + [("ipv6", f"::{k}") for k in range(1, 10)]
+    got = pii.assign(spark.createDataFrame(rows, "kind string, norm string"), "k", Scratch(spark, "t")).collect()
+    fresh = {r.fresh for r in got}
+    assert len(got) == len(fresh) == len(rows) and not fresh & {n for _, n in rows}
+    assert all(re.fullmatch(r"192\.168(\.([1-9]|[1-9]\d|1\d\d|2[0-4]\d|25[0-4])){2}", r.fresh) for r in got if r.kind == "ip")
+    assert all(re.fullmatch(r"[a-z]\d*@example\.com", r.fresh) for r in got if r.kind == "email")
+
+
 def test_toxicity_learns_from_votes(spark):
     rnd = random.Random(5)
     rows, labels = [], []

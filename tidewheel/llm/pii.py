@@ -9,6 +9,8 @@ surname only stays one person.
 
 Collision checks preserve distinctness: in the table of distinct entities (one row each, however often they occur) no two may
 have the same surrogate and no surrogate may be an entity of the corpus; those that clash draw again with the next attempt.
+A format may have fewer surrogates than the corpus has entities, so every few attempts widen it: names gain a syllable,
+addresses other lengths and then other ranges, numbers, mail boxes and secrets a digit.
 """
 
 from __future__ import annotations
@@ -50,6 +52,9 @@ SYLLABLES = {
     "cyrillic": ("ба", "бе", "во", "га", "го", "да", "де", "до", "за", "ка", "ко", "ла", "ле", "ло", "ма", "ми", "мо", "на", "не", "но", "па", "по", "ра", "ре", "ро", "са", "си", "та", "то", "фа", "ха", "че"),
 }
 
+#: Attempts before a format is widened by one more step.
+PATIENCE = 3
+
 
 def let(value: Column, body) -> Column:
     """body(value) with value computed once a row."""
@@ -107,16 +112,35 @@ def new_card(norm: Column, bits: Column) -> Column:
     return F.when(luhn_sum(norm) % 10 == 0, right).otherwise(wrong)
 
 
-def new_ip(norm: Column, bits: Column) -> Column:
-    """Octets of as many digits; private ranges stay private."""
+def wider(attempt: Column) -> Column:
+    """By how many steps the format of a surrogate is widened."""
+    return F.floor(attempt / PATIENCE).cast("int")
+
+
+def more(bits: Column, steps: Column, letters=tuple("0123456789")) -> Column:
+    """So many more letters of the given ones, '' for 0 steps. From the hash's end, which short texts leave alone."""
+    table_ = F.array(*map(F.lit, letters))
+    found = F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), lambda k: F.get(table_, drawn(bits, 31 - k, len(letters))))
+    return F.when(steps > 0, F.array_join(found, "")).otherwise("")
+
+
+def new_ip(norm: Column, bits: Column, steps: Column) -> Column:
+    """Octets of as many digits; private ranges stay private. Then octets of any length, then private ones anywhere in 10.*, then any address."""
     parts = F.split(norm, r"\.")
 
     def octet(value: Column, k: Column) -> Column:
         size = F.length(value)
-        return F.when(size == 1, 1 + drawn(bits, k, 9)).when(size == 2, 10 + drawn(bits, k, 90)).otherwise(100 + drawn(bits, k, 155)).cast("string")
+        return F.when(steps > 0, 1 + drawn(bits, k, 254)).when(size == 1, 1 + drawn(bits, k, 9)).when(size == 2, 10 + drawn(bits, k, 90)).otherwise(100 + drawn(bits, k, 155)).cast("string")
+
+    kept = F.when(steps > 5, 0).when(parts[0].isin("10", "127"), 1).when((parts[0] == "192") & (parts[1] == "168"), F.when(steps > 2, 1).otherwise(2)).otherwise(0)
+    return F.array_join(F.transform(parts, lambda v, k: F.when(k < kept, F.when(steps > 2, "10").otherwise(v)).otherwise(octet(v, k))), ".")
 
-    kept = F.when(parts[0].isin("10", "127"), 1).when((parts[0] == "192") & (parts[1] == "168"), 2).otherwise(0)
-    return F.array_join(F.transform(parts, lambda v, k: F.when(k < kept, v).otherwise(octet(v, k))), ".")
+
+def new_ipv6(norm: Column, bits: Column, steps: Column) -> Column:
+    """Hexadecimal digits where they stood; then eight groups, of which the first stays."""
+    first = F.substring_index(norm, ":", 1)
+    groups = F.transform(F.sequence(F.lit(1), F.lit(7)), lambda k: F.substr(bits, 4 * k + 1, F.lit(4)))
+    return F.when(steps > 0, F.concat(F.when(first == "", "fd00").otherwise(first), F.lit(":"), F.array_join(groups, ":"))).otherwise(reshaped(norm, bits, F.lit(True)))
 
 
 def new_phone(norm: Column, bits: Column) -> Column:
@@ -128,19 +152,19 @@ def new_phone(norm: Column, bits: Column) -> Column:
     return F.concat(code, F.when(fictional, F.concat(F.substring(fresh, 1, 3), F.lit("555"), F.substring(fresh, 7, 4))).otherwise(fresh))
 
 
-def new_email(norm: Column, bits: Column) -> Column:
+def new_email(norm: Column, bits: Column, steps: Column) -> Column:
     """Local part reshaped, the domain's host names too; the last two labels become example.<same ending>."""
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     hosts = F.regexp_extract(domain, r"^((?:.*\.)?)[^.]+\.[^.]+$", 1)
-    return F.concat(reshaped(local, bits, F.lit(False)), F.lit("@"), reshaped(hosts, F.reverse(bits), F.lit(False)), F.lit("example."), F.substring_index(domain, ".", -1))
+    return F.concat(reshaped(local, bits, F.lit(False)), more(bits, steps), F.lit("@"), reshaped(hosts, F.reverse(bits), F.lit(False)), F.lit("example."), F.substring_index(domain, ".", -1))
 
 
 def script_of(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
 
-def new_name(kind: Column, norm: Column, bits: Column) -> Column:
-    """A given name of the same gender and script, or a surname of syllables of the script. Attempts beyond the list add a syllable."""
+def new_name(kind: Column, norm: Column, bits: Column, steps: Column) -> Column:
+    """A given name of the same gender and script, or a surname of syllables of the script. Each step of widening adds a syllable."""
     script = script_of(norm)
     found = F.lit(None).cast("string")
     for name, letters in SYLLABLES.items():
@@ -150,38 +174,42 @@ def new_name(kind: Column, norm: Column, bits: Column) -> Column:
         for gender in "fm":
             names = F.array(*map(F.lit, GIVEN[f"{gender} {name}"]))
             given = F.when(kind == f"given_{gender}", F.concat(F.get(names, drawn(bits, F.lit(1), len(GIVEN[f"{gender} {name}"]))), F.get(table_, drawn(bits, F.lit(9), len(letters))))).otherwise(given)
-        found = F.when(script == name, F.coalesce(given, surname)).otherwise(found)
+        found = F.when(script == name, F.concat(F.coalesce(given, surname), more(bits, steps, letters))).otherwise(found)
     return found
 
 
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The normalised surrogate of a normalised entity."""
 
+    steps = wider(attempt)
+
     def of(bits: Column) -> Column:
-        hexadecimal = norm.rlike(r"^[0-9a-f]+$") | norm.rlike(r"^[0-9A-F]+$") | (kind == "ipv6")
+        hexadecimal = norm.rlike(r"^[0-9a-f]+$") | norm.rlike(r"^[0-9A-F]+$")
         return (
-            F.when(kind == "email", new_email(norm, bits))
-            .when(kind == "ip", new_ip(norm, bits))
-            .when(kind == "phone", new_phone(norm, bits))
+            F.when(kind == "email", new_email(norm, bits, steps))
+            .when(kind == "ip", new_ip(norm, bits, steps))
+            .when(kind == "ipv6", new_ipv6(norm, bits, steps))
+            .when(kind == "phone", F.concat(new_phone(norm, bits), more(bits, steps)))
             .when(kind == "card", new_card(norm, bits))
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substr(reshaped(norm, bits, F.lit(False)), F.lit(2), F.length(norm))))
+            .when(kind == "ssn", F.concat(F.lit("9"), F.substr(reshaped(norm, bits, F.lit(False)), F.lit(2), F.length(norm)), more(bits, steps)))
             .when(kind == "iban", F.concat(F.substring(norm, 1, 2), F.substr(reshaped(norm, bits, F.lit(False)), F.lit(3), F.length(norm))))
             .when(kind == "aws_key", F.concat(F.substring(norm, 1, 4), F.substr(reshaped(norm, bits, F.lit(False)), F.lit(5), F.length(norm))))
-            .when(kind.isin("given_f", "given_m", "surname"), new_name(kind, norm, bits))
-            .otherwise(reshaped(norm, bits, hexadecimal))
+            .when(kind.isin("given_f", "given_m", "surname"), new_name(kind, norm, bits, steps))
+            .otherwise(F.concat(reshaped(norm, bits, hexadecimal), F.when(kind == "secret", more(bits, steps)).otherwise("")))
         )
 
     return let(digest(key, kind, norm, attempt.cast("string")), of)
 
 
 def dressed(kind: Column, entity: Column, fresh: Column) -> Column:
-    """A normalised surrogate in the spelling of the occurrence: separators of numbers where they stood, capitals of an address in capitals."""
+    """A normalised surrogate in the spelling of the occurrence: separators of numbers where they stood, capitals of an address in capitals. Digits that the surrogate has more come last."""
 
     def stands(c: Column) -> Column:
         return F.when(kind == "iban", c != " ").otherwise(c.rlike("[0-9+]"))
 
     def spaced(chars: Column) -> Column:
-        return F.array_join(F.transform(chars, lambda c, k: F.when(stands(c), F.substr(fresh, F.size(F.filter(F.slice(chars, F.lit(1), k + 1), stands)), F.lit(1))).otherwise(c)), "")
+        rest = F.substr(fresh, F.size(F.filter(chars, stands)) + 1, F.length(fresh))
+        return F.concat(F.array_join(F.transform(chars, lambda c, k: F.when(stands(c), F.substr(fresh, F.size(F.filter(F.slice(chars, F.lit(1), k + 1), stands)), F.lit(1))).otherwise(c)), ""), rest)
 
     capitals = (kind == "email") & (F.upper(entity) == entity)
     return F.when(kind.isin("phone", "card", "ssn", "iban"), let(F.split(entity, ""), spaced)).when(capitals, F.upper(fresh)).otherwise(fresh)
@@ -203,7 +231,7 @@ def assign(entities: DataFrame, key: str, scratch: Scratch, rounds: int = 60) ->
     """(kind, norm) to (kind, norm, fresh) without collisions.
 
     Each round those that clash with another entity's surrogate (all but the first) or with an entity draw again. Rounds end
-    when none clash; a space that is too small for its entities is an error, not a silent repeat.
+    when none clash; every few attempts widen the space. An entity without a surrogate after all rounds is an error, not a silent repeat.
     """
     now = scratch.keep(entities.select("kind", "norm", F.lit(0).alias("attempt"), surrogate(key, F.col("kind"), F.col("norm"), F.lit(0)).alias("fresh")), "assigned-0")
     known = entities.select(F.col("norm").alias("fresh")).distinct()
