@@ -159,6 +159,20 @@ def test_pii_surrogates_stay_distinct(spark):
     assert not {r.fresh for r in got} & {r.norm for r in got}
 
 
+def test_pii_long_secrets_and_short_addresses(spark):
+    rnd = random.Random(8)
+    jwt = "ey" + "".join(rnd.choice("abcdefghijkXYZ0123456789_-.") for _ in range(5000))
+    found = ["2001:db8::1", "::1", "fe80::a2:7", "2001:DB8:0:1::", "1:2:3:4:5:6:7:8"]
+    kept = ["std::vec", "Abe::Add", "10:30:45", "a::b", "x1::y2", "::"]
+    rows = [(1, f"token={jwt} end"), (2, " , ".join(found)), (3, " , ".join(kept)), (4, "at ::ffff:93.184.21.34 now, fe80::1%eth0 and [2001:db8::2]:80.")]
+    got = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace_pii(frame(spark, rows)).collect()}
+    text = got[1][0]
+    assert text.startswith("token=") and text.endswith(" end") and len(text) == len(rows[0][1]) and not any(jwt[k : k + 12] in text for k in range(len(jwt) - 12))
+    assert got[2][1] == len(found) and not set(got[2][0].split(" , ")) & set(found)
+    assert got[3] == (rows[2][1], 0)
+    assert got[4][1] == 3 and "93.184.21.34" not in got[4][0] and "fe80::1%" not in got[4][0] and "db8::2" not in got[4][0] and got[4][0].startswith("at ::ffff:")
+
+
 def test_pii_formats_widen(spark):
     from tidewheel.llm.common import Scratch
 
