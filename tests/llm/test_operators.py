@@ -127,6 +127,24 @@ def test_decontamination(spark):
     assert decontaminate.contamination(frame(spark, rows), bench.limit(0)).where("contaminated").count() == 0
 
 
+def found_leaks(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {r.doc_id: (r.contaminated, r.coverage) for r in decontaminate.contamination(frame(spark, list(enumerate(texts))), bench).collect()}
+
+
+def test_decontamination_slots(spark):
+    chance = "they bring 2 apples to the school and wait there for 2 hours before all of them go home"
+    asked = "a train of 3 cars and 4 vans with 5 men and 6 women took 7 days and 8 nights to come"
+    long = " ".join(f"then Alice w{k} and x{k} met with y{k} at z{k}" for k in range(30))
+    names = "Alice has 12 apples and gives 5 of them to Bob before lunch"
+    texts = [
+        chance.replace("2 apples", "3 apples").replace("2 hours", "4 hours"), re.sub("[3-8]", lambda m: "223344"[int(m[0]) - 3], asked),
+        long.replace("Alice w9 ", "Carol w9 "), names.replace("Alice", "Carol").replace("Bob", "Carol").replace("12", "30").replace("5", "7"), "some other words stand here and none of them is in any item",
+    ]
+    got = found_leaks(spark, [chance, asked, long, names], texts)
+    assert [got[k][0] for k in range(5)] == [True, True, True, False, False] and got[2][1] > 0.9
+
+
 def test_pii(spark):
     rows = [
         (1, "Mail bob.smith@corp.example.com or BOB.SMITH@CORP.EXAMPLE.COM, +1 (017) 555-7713; 97.51.17.173 and 192.168.3.4; card 4111 1111 1111 1111"),

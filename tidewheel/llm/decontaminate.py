@@ -3,14 +3,15 @@
 Texts become templates: words in lower case, with typed placeholders for numbers, names (capitalised words) and units. Every
 window of `WIDTH` template tokens is hashed, from the hashes of its tokens. Windows of documents
 meet windows of the benchmark in a hash join; the benchmark side is broadcast behind a check of its size. Documents with a
-shared window are read once more for the evidence: matched windows are lined up with the item by their offset, and the values
-in the slots must agree: within a document and item one value stands for one value, and the other way round, as when a
-question is asked again with other numbers and names.
+shared window are read once more for the evidence: matched windows are lined up with the item by their offset, and the names
+in the slots must agree: half of them at least must stand for one name of the item, and the other way round, as when a
+question is asked again with other names. Numbers and units are free, as small ones are often equal by chance. Where names
+don't agree, only windows of the same words count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import Scratch, table
@@ -19,6 +20,8 @@ from tidewheel.llm.common import Scratch, table
 WIDTH, PLAIN = 8, 4
 #: Share of an item's windows that a document must hold to count as contaminated.
 COVERAGE = 0.3
+#: Share of the names in matched windows that must stand for one name each.
+AGREE = 0.5
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 #: Units that are replaced after a number (fixed values).
 UNITS = (
@@ -120,12 +123,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     matched = places.join(F.broadcast(side) if small else side, F.col("key") == F.col("window"))
     matched = scratch.keep(matched.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift"), "doc_raw", "item_raw", "item_tokens"), "matched")
 
-    slots = matched.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_tokens", "item_raw", "doc_raw")).alias("s"))
-    slots = slots.where(F.col("s.item_tokens").isin(NUMBER, NAME, UNIT)).select("doc_id", "item_id", "shift", F.lower("s.item_raw").alias("theirs"), F.lower("s.doc_raw").alias("ours")).distinct()
+    slots = matched.select("doc_id", "item_id", "shift", "at", F.posexplode(F.arrays_zip("item_tokens", "item_raw", "doc_raw")).alias("j", "s"))
     key = ["doc_id", "item_id", "shift"]
-    split = slots.groupBy(*key, "theirs").count().where("count > 1").select(*key).union(slots.groupBy(*key, "ours").count().where("count > 1").select(*key)).distinct()
+    slots = slots.where(F.col("s.item_tokens") == NAME).select(*key, (F.col("at") + F.col("j")).alias("place"), F.lower("s.item_raw").alias("theirs"), F.lower("s.doc_raw").alias("ours")).distinct()
+    pairs = slots.groupBy(*key, "theirs", "ours").agg(F.count("*").alias("n"))
+    most = [2 * F.col("n") > F.sum("n").over(Window.partitionBy(*key, side)) for side in ("theirs", "ours")]
+    agree = F.sum(F.when(F.col("sound"), F.col("n")).otherwise(0))
+    split = pairs.withColumn("sound", most[0] & most[1]).groupBy(*key).agg(agree.alias("agree"), F.sum("n").alias("names")).where(F.col("agree") < AGREE * F.col("names")).select(*key, F.lit(True).alias("split"))
+    same = F.transform("doc_raw", F.lower) == F.transform("item_raw", F.lower)
     total = items.groupBy("item_id").agg(F.count_distinct("at").alias("windows"))
-    sound = matched.join(split, key, "left_anti").groupBy("doc_id", "item_id").agg(F.count_distinct("at").alias("hits"))
+    sound = matched.join(split, key, "left").where(F.col("split").isNull() | same).groupBy("doc_id", "item_id").agg(F.count_distinct("at").alias("hits"))
     rated = sound.join(total, "item_id").select("doc_id", "item_id", (F.col("hits") / F.col("windows")).alias("coverage"))
     best = rated.groupBy("doc_id").agg(
         F.max_by("item_id", F.struct("coverage", -F.col("item_id"))).alias("item_id"), F.max("coverage").alias("coverage"), F.count(F.when(F.col("coverage") >= coverage, 1)).alias("n_items")
