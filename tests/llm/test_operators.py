@@ -145,6 +145,16 @@ def test_decontamination_slots(spark):
     assert [got[k][0] for k in range(5)] == [True, True, True, False, False] and got[2][1] > 0.9
 
 
+def test_decontamination_in_other_case(spark):
+    item = "Alice Smith has 12 Km to go and Bob Brown gives her 5 apples before Lunch in Paris"
+    names = "Anna Bert Carl Dora Emil Fritz Gerd Hans Ida Jan"
+    texts = [item, item.lower(), item.upper(), item.title(), item.replace("Alice", "Carol").replace("Bob", "Dave"), names.upper(), "Some Other Text Of Capitals That Is No Item"]
+    got = found_leaks(spark, [item, names], texts)
+    assert [got[k][0] for k in range(7)] == [True] * 6 + [False] and all(got[k][1] == 1 for k in (0, 1, 2, 3, 5))
+    old = "Alice has 12 apples and gives 5 of them to Bob before lunch"
+    assert all(c for c, _ in found_leaks(spark, [old], [old.upper(), old.lower()]).values())
+
+
 def test_pii(spark):
     rows = [
         (1, "Mail bob.smith@corp.example.com or BOB.SMITH@CORP.EXAMPLE.COM, +1 (017) 555-7713; 97.51.17.173 and 192.168.3.4; card 4111 1111 1111 1111"),

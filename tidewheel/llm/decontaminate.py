@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Texts become templates: words in lower case, with typed placeholders for numbers, names (capitalised words) and units. Every
-window of `WIDTH` template tokens is hashed, from the hashes of its tokens. Windows of documents
+window of `WIDTH` template tokens is hashed, from the hashes of its tokens. As a copy in lower or upper case has no names to
+tell, windows that hold a name are hashed a second time with its lower-cased words. Windows of documents
 meet windows of the benchmark in a hash join; the benchmark side is broadcast behind a check of its size. Documents with a
 shared window are read once more for the evidence: matched windows are lined up with the item by their offset, and the names
 in the slots must agree: half of them at least must stand for one name of the item, and the other way round, as when a
@@ -60,8 +61,14 @@ def template(raw: Column) -> Column:
     return F.when(F.exists(raw, lambda t: F.substring(t, 1, 1).between("0", "9")), with_numbers(raw)).otherwise(F.transform(raw, lower_or_name))
 
 
-def tokens_of(text: Column) -> Column:
-    return let(words(text), template)
+def spelled(raw: Column, tokens: Column) -> Column:
+    """Template tokens with the names as words in lower case; a unit after a number stays a placeholder."""
+
+    def one(t: Column, k: Column) -> Column:
+        word = F.lower(F.get(raw, k))
+        return F.when(t != NAME, t).when(word.isin(*UNITS) & (k > 0) & (F.get(tokens, k - 1) == NUMBER), UNIT).otherwise(word)
+
+    return F.when(F.array_contains(tokens, NAME), F.transform(tokens, one)).otherwise(tokens)
 
 
 def window_hashes(tokens: Column, width: int) -> Column:
@@ -73,19 +80,33 @@ def window_hashes(tokens: Column, width: int) -> Column:
     return let(F.transform(tokens, lambda t: F.xxhash64(t)), windows)
 
 
+def all_hashes(raw: Column, width: int) -> Column:
+    """Array of struct(at, key): windows of the template, and of the lower-cased words where those differ."""
+
+    def both(tokens: Column) -> Column:
+        numbered = lambda hashes: F.transform(hashes, lambda h, k: F.struct(k.alias("at"), h.alias("key")))
+        named = lambda hashes: F.filter(numbered(window_hashes(spelled(raw, tokens), width)), lambda s: s["key"] != F.get(hashes, s["at"]))
+        return let(window_hashes(tokens, width), lambda hashes: F.when(F.array_contains(tokens, NAME), F.concat(numbered(hashes), named(hashes))).otherwise(numbered(hashes)))
+
+    return let(template(raw), both)
+
+
 def plain_enough(window: Column, width: int) -> Column:
     return F.size(F.filter(window, lambda t: ~t.isin(NUMBER, NAME, UNIT))) >= min(PLAIN, max(1, width // 2))
 
 
 def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
-    """(item_id, at, window, raw array, slots) of the benchmark; windows of mostly placeholders tell nothing and are left out."""
-    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("raw"), tokens_of(F.col("text")).alias("tokens"))
+    """(item_id, at, exact, window, raw array, slots) of the benchmark; exact: of lower-cased words. Windows of mostly placeholders tell nothing and are left out."""
+    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("raw")).withColumn("tokens", template(F.col("raw")))
+    kinds = F.array(F.struct(F.lit(False).alias("exact"), F.col("tokens")), F.struct(F.lit(True).alias("exact"), spelled(F.col("raw"), F.col("tokens")).alias("tokens")))
     return (
         own.where("item_id is not null")
-        .select("item_id", "raw", "tokens", F.posexplode(window_hashes(F.col("tokens"), width)).alias("at", "window"))
-        .select("item_id", "at", "window", F.slice("raw", F.col("at") + 1, width).alias("raw"), F.slice("tokens", F.col("at") + 1, width).alias("tokens"))
+        .select("item_id", "raw", F.explode(kinds).alias("kind"))
+        .select("item_id", "raw", "kind.exact", "kind.tokens")
+        .select("item_id", "raw", "exact", "tokens", F.posexplode(window_hashes(F.col("tokens"), width)).alias("at", "window"))
+        .select("item_id", "at", "exact", "window", F.slice("raw", F.col("at") + 1, width).alias("raw"), F.slice("tokens", F.col("at") + 1, width).alias("tokens"))
         .where(plain_enough(F.col("tokens"), width))
-        .dropDuplicates(["item_id", "at", "window"])
+        .dropDuplicates(["item_id", "at", "exact", "window"])
     )
 
 
@@ -111,17 +132,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     keys = items.select(F.col("window").alias("key")).distinct()
     small = n_windows <= few  # 8 bytes a window to look up
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    seen = own.select("doc_id", F.explode(window_hashes(tokens_of(F.col("text")), width)).alias("key"))
+    seen = own.select("doc_id", F.explode(let(words(F.col("text")), lambda raw: all_hashes(raw, width))).alias("window")).select("doc_id", "window.key")
     touched = scratch.keep(seen.join(F.broadcast(keys) if small else keys, "key").select("doc_id").distinct(), "touched")
     again = F.broadcast(touched) if touched.count() <= 1_000_000 else touched
     found = own.join(again, "doc_id", "left_semi")
-    detail = found.select("doc_id", words(F.col("text")).alias("raw"), tokens_of(F.col("text")).alias("tokens")).select(
-        "doc_id", "raw", F.posexplode(window_hashes(F.col("tokens"), width)).alias("doc_at", "key")
-    )
+    detail = found.select("doc_id", words(F.col("text")).alias("raw")).select("doc_id", "raw", F.explode(all_hashes(F.col("raw"), width)).alias("window")).select("doc_id", "raw", F.col("window.at").alias("doc_at"), "window.key")
     places = detail.join(F.broadcast(keys) if small else keys, "key", "left_semi").select("doc_id", "doc_at", "key", F.slice("raw", F.col("doc_at") + 1, width).alias("doc_raw"))
-    side = items.select("item_id", F.col("at"), F.col("window"), F.col("raw").alias("item_raw"), F.col("tokens").alias("item_tokens"))
+    side = items.select("item_id", F.col("at"), "exact", F.col("window"), F.col("raw").alias("item_raw"), F.col("tokens").alias("item_tokens"))
     matched = places.join(F.broadcast(side) if small else side, F.col("key") == F.col("window"))
-    matched = scratch.keep(matched.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift"), "doc_raw", "item_raw", "item_tokens"), "matched")
+    matched = scratch.keep(matched.select("doc_id", "item_id", "at", "exact", (F.col("doc_at") - F.col("at")).alias("shift"), "doc_raw", "item_raw", "item_tokens"), "matched")
 
     slots = matched.select("doc_id", "item_id", "shift", "at", F.posexplode(F.arrays_zip("item_tokens", "item_raw", "doc_raw")).alias("j", "s"))
     key = ["doc_id", "item_id", "shift"]
@@ -131,9 +150,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     agree = F.sum(F.when(F.col("sound"), F.col("n")).otherwise(0))
     split = pairs.withColumn("sound", most[0] & most[1]).groupBy(*key).agg(agree.alias("agree"), F.sum("n").alias("names")).where(F.col("agree") < AGREE * F.col("names")).select(*key, F.lit(True).alias("split"))
     same = F.transform("doc_raw", F.lower) == F.transform("item_raw", F.lower)
-    total = items.groupBy("item_id").agg(F.count_distinct("at").alias("windows"))
-    sound = matched.join(split, key, "left").where(F.col("split").isNull() | same).groupBy("doc_id", "item_id").agg(F.count_distinct("at").alias("hits"))
-    rated = sound.join(total, "item_id").select("doc_id", "item_id", (F.col("hits") / F.col("windows")).alias("coverage"))
+    # a place counts for the template if its template tells something, however it matched, and for the words if they are the same
+    plain = F.count_distinct(F.when(~F.col("exact"), F.col("at")))
+    total = items.groupBy("item_id").agg(plain.alias("of_template"), F.count_distinct(F.when(F.col("exact"), F.col("at"))).alias("of_words"))
+    sound = matched.join(split, key, "left").where(F.col("split").isNull() | same)
+    telling = items.where("not exact").select("item_id", "at", F.lit(True).alias("telling")).distinct()
+    sound = sound.select("doc_id", "item_id", "at", "exact").join(F.broadcast(telling) if small else telling, ["item_id", "at"], "left")
+    hits = sound.groupBy("doc_id", "item_id").agg(F.count_distinct(F.when(F.col("telling"), F.col("at"))).alias("in_template"), F.count_distinct(F.when(F.col("exact"), F.col("at"))).alias("in_words"))
+    share = F.greatest(*(F.when(F.col(f"of_{k}") > 0, F.col(f"in_{k}") / F.col(f"of_{k}")).otherwise(0.0) for k in ("template", "words")))
+    rated = hits.join(total, "item_id").select("doc_id", "item_id", share.alias("coverage"))
     best = rated.groupBy("doc_id").agg(
         F.max_by("item_id", F.struct("coverage", -F.col("item_id"))).alias("item_id"), F.max("coverage").alias("coverage"), F.count(F.when(F.col("coverage") >= coverage, 1)).alias("n_items")
     )
