@@ -233,6 +233,12 @@ def test_toxicity_learns_from_votes(spark):
     assert toxicity.score_toxicity(frame(spark, rows), table.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_shouting_late_in_a_text_votes():
+    texts = [b"", b"quiet " * 700 + b"SHOUT " * 7000, b"LOUD " * 900 + b"quiet " * 7000]
+    votes = toxicity.votes_of(texts, np.zeros((3, 1), bool), np.ones(1))
+    assert votes[:, -2].tolist() == [0, 1, 0]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var t="<p>no</p>";</script></head><body><header><a href="/">Site</a></header>
 <nav><ul><li><a href=a>Menu</a></li></ul></nav><div class="ad">Buy</div><div class="cookie-notice">We use cookies</div>%s<aside>More</aside>
 <section id="comments"><p>First!</p></section><form><p>Name</p></form><footer>&copy; x</footer></body></html>"""

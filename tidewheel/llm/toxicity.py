@@ -108,7 +108,8 @@ def votes_of(texts: list[bytes], present: np.ndarray, strength: np.ndarray) -> n
     order = np.argsort(-strength, kind="stable")
     hits = present.sum(1)
     size = np.array([max(1, len(t)) for t in texts])
-    shout = np.array([sum(65 <= c <= 90 for c in t[:4000]) / max(1, sum(c > 64 for c in t[:4000])) for t in texts])
+    views = [np.frombuffer(t, np.uint8) for t in texts]
+    shout = np.array([np.count_nonzero((v >= 65) & (v <= 90)) / max(1, np.count_nonzero(v > 64)) for v in views])
     marks = np.array([t.count(b"!!") + t.count(b"***") for t in texts]) / size
     columns = [present[:, order[k::LEXICON_VOTERS]].any(1).astype(int) for k in range(min(LEXICON_VOTERS, len(order)))]
     columns += [np.where(hits >= least, 1, 0) for least in (2, 3, 5)] + [np.where(hits / size > d, 1, 0) for d in (1e-3, 5e-3)]
