@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import CACHES, table, utf8
+from tidewheel.llm.common import CACHES, bounded, lean_worker, table, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Longer pieces are encoded anew each time; the cache holds as many pieces at most.
-CACHED_CHARS, CACHED_PIECES = 48, 250_000
+CACHED_CHARS, CACHED_PIECES = 48, 100_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -209,7 +209,7 @@ class BytePairCodec:
 
 
 _codecs: dict[str, BytePairCodec] = {}
-CACHES.append(_codecs.clear)
+CACHES["codecs"] = _codecs.clear
 
 
 def codec(rules: dict, key: str) -> BytePairCodec:
@@ -232,12 +232,13 @@ def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text
     each row of docs. Null texts count as empty; null ids stay null; repeated rows give repeated rows; an empty table gives
     an empty table; other columns, whatever their names, are not read. No shuffle: one pass over the input.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs.sparkSession)
     path = path or default_vocabulary()
     rules = spark.sparkContext.broadcast(load_rules(path))  # bounded by the vocabulary
     schema = f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker(keep="codecs")
         own = codec(rules.value, path)
         for batch in batches:
             n, ids_hash, text_hash, kept, texts = [], [], [], [], []

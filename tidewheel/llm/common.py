@@ -17,9 +17,19 @@ from pyspark.sql import functions as F
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+ARROW_KEY, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Batches for Python workers hold a few MB, or one longer row, whatever the texts are like; a session that sets a bound of its own keeps it."""
+    if spark.sparkContext.getConf().get(ARROW_KEY) is None:
+        spark.conf.set(ARROW_KEY, ARROW_BYTES)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; any store that Spark can read."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +49,7 @@ class Scratch:
     """Tables that cut lineage: written once to the shared folder, so a lost executor costs no recomputation of what came before."""
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
+        self.spark = bounded(spark)
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -63,14 +73,16 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: What operators cache in a Python worker, which outlives tasks and operators: calls that give it back.
-CACHES: list = []
+#: What operators cache in a Python worker, which outlives tasks and operators: the cache by name, and the call that gives it back.
+CACHES: dict = {}
 
 
-def lean_worker() -> None:
-    """Give back what this worker still holds from other tasks: their caches, and free memory that the allocator keeps."""
-    for clear in CACHES:
-        clear()
+def lean_worker(keep: str = "") -> None:
+    """Give back what this worker still holds from other operators: their caches (all but `keep`), and free memory that the allocators hold."""
+    for name, clear in CACHES.items():
+        if name != keep:
+            clear()
+    pa.default_memory_pool().release_unused()
     gc.collect()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -17,9 +17,14 @@ From signatures to components, without listing the pairs of a large group:
 2. Signatures are dealt by hash and sorted; a run of equal ones streams by, each set paired with the first of its run.
 3. Each set's pair with its most central partner, the one that meets most others, is verified on the sets, exactly, and
    linked sets form components; then the pairs of a run's first with its others, where they are still apart.
-4. Runs that now hold a single component are done. In the others every pair of sets from different components is verified.
-   This completes the join: each link joins two sets that share a signature, so it was verified or lies in one component.
-   Before sets are fetched, the counts of their shingles in cells of the hash domain rule out most pairs that don't link.
+4. Runs that now hold a single component are done. In the others the sets of different components are held against each
+   other by stars: a star is a hub and the sets that were found to link to it, each with its exact distance. Jaccard distance is
+   a metric, so if hubs are farther apart than the threshold and the distances of two members from them, these don't link. The
+   hubs of stars that meet are measured once, and only members that the bound leaves are verified in pairs. So a set that stays
+   apart from a large group meets the group's few hubs, not its members.
+   This completes the join: each link joins two sets that share a signature, so it was verified, lies in one component or is
+   ruled out by the bound. Before sets are fetched, the counts of their shingles in cells of the hash domain rule out most
+   pairs that aren't near enough.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ STAGED = "kind int, a long, b long, c long, left long, cells binary"
 CELLS = 64
 #: Bytes of text whose signatures meet in a task before they are dealt.
 PORTION = 4 << 20
+#: Bytes of text over which a task counts shingles before it passes on the repeated ones.
+COUNTED = 12 << 20
 
 
 class Signatures:
@@ -112,13 +119,23 @@ def _portions(batches: Iterator[pa.RecordBatch], size: int = PORTION) -> Iterato
 def _often(width: int, least: int):
     """Shingles of at least `least` different sets of a portion, with their number; every portion of the corpus is counted."""
 
+    def counted(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
+        often = counts >= least
+        return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
-        for _, data, offsets in _portions(batches, 3 * PORTION):
-            sets = {set_id(hashes): hashes for hashes in shingle_sets(data, offsets, width)}
-            found, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, np.uint64)]), return_counts=True)
-            often = counts >= least
-            yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"])
+        sets, held = {}, 0
+        for _, data, offsets in _portions(batches):
+            for hashes in shingle_sets(data, offsets, width):
+                sets[set_id(hashes)] = hashes
+            held += len(data)
+            if held >= COUNTED:
+                yield counted(sets)
+                sets, held = {}, 0
+        if sets:
+            yield counted(sets)
 
     return run
 
@@ -246,40 +263,49 @@ def _sets_of(width: int):
 
 
 def _pruner(num: int, den: int):
-    """Drops pairs that cannot link: the counts of shingles in the cells of the hash domain differ by more than the symmetric difference may hold. Counts above 255 stand as 255, which only weakens the bound."""
+    """Drops pairs that cannot be as near as they should: a Jaccard distance of 1 - num / den and `slack` more.
+
+    The counts of shingles in the cells of the hash domain differ by no more than the symmetric difference. Counts above 255
+    stand as 255, which only weakens the bound.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
         for batch in batches:
-            most = (batch.column(2).to_numpy() + batch.column(3).to_numpy()) * (den - num) // (num + den)
+            far = np.minimum((den - num) / den + batch.column(2).to_numpy(), 1)
+            most = far * (batch.column(3).to_numpy() + batch.column(4).to_numpy()) / (2 - far) + 1e-6
             good = []
-            for p, q, k in zip(batch.column(4), batch.column(5), most.tolist(), strict=True):
+            for p, q, k in zip(batch.column(5), batch.column(6), most.tolist(), strict=True):
                 p, q = (np.frombuffer(z.as_buffer(), np.uint8).astype(np.int32) for z in (p, q))
                 n = min(len(p), len(q))
                 good.append(int(np.abs(p.reshape(n, -1).sum(1) - q.reshape(n, -1).sum(1)).sum()) <= k)
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+            yield batch.select([0, 1, 2]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def _verifier(num: int, den: int):
+def _measured(num: int, den: int):
+    """Pairs with their exact Jaccard distance, where it is at most 1 - num / den and `slack` more."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
         for batch in batches:
-            good = []
-            for p, q in zip(batch.column(2), batch.column(3), strict=True):
+            good, far = [], []
+            for slack, p, q in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 p, q = (np.frombuffer(z.as_buffer(), np.uint64) for z in (p, q))
                 if len(p) > len(q):
                     p, q = q, p
-                if not len(p) or len(p) * den < num * len(q):
-                    good.append(False)
-                    continue
-                at = np.searchsorted(q, p)
-                both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                good.append(den * both >= num * (len(p) + len(q) - both))
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+                both = 0
+                if len(p):
+                    at = np.searchsorted(q, p)
+                    both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+                union = len(p) + len(q) - both
+                near = den * both >= num * union or (slack > 0 and den * both >= (num - den * slack) * union - 1e-6)
+                good.append(bool(len(p)) and near)
+                if good[-1]:
+                    far.append(1 - both / union)
+            pairs = batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(far, pa.float64())], names=["a", "b", "far"])
 
     return run
 
@@ -299,21 +325,22 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     shared = staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot"), "left")
 
     def likely(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) without those that sizes and cell counts rule out."""
+        """Pairs (a, b, slack) without those that sizes and cell counts rule out."""
         one, two = (classes.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}")) for x in "ab")
-        fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-        known = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
-        return scratch.keep(known.mapInArrow(_pruner(num, den), "a long, b long"), name)
+        least = num - den * F.col("slack") - 1e-6
+        fits = (F.col("n_a") * den >= F.col("n_b") * least) & (F.col("n_b") * den >= F.col("n_a") * least)
+        known = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "slack", "n_a", "n_b", "cells_a", "cells_b")
+        return scratch.keep(known.mapInArrow(_pruner(num, den), "a long, b long, slack double"), name)
 
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that link, by their sets, which are made anew from the texts that are needed."""
+    def near(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that are near enough with their distance, by their sets, which are made anew from the texts that are needed."""
         nodes = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
         wanted = scratch.keep(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), f"{name}-wanted")
         if wanted.count() <= few:  # 8 bytes each: small whatever the texts hold
             wanted = F.broadcast(wanted)
         sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, hashes binary"), f"{name}-sets")
         one, two = (sets.select(F.col("set").alias(x), F.col("hashes").alias(y)) for x, y in ("ap", "bq"))
-        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "p", "q").mapInArrow(_verifier(num, den), "a long, b long"), name)
+        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "slack", "p", "q").mapInArrow(_measured(num, den), "a long, b long, far double"), name)
         scratch.drop(f"{name}-wanted", f"{name}-sets")
         scratch.release()
         return found
@@ -324,47 +351,54 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     weight = scratch.keep(shared.join(met_by, "signature").groupBy("set").agg(F.sum("met").alias("weight")), "weight")
     centre = shared.join(weight, "set").groupBy("signature").agg(F.max(F.struct("weight", "set")).alias("centre"))
     nearest = shared.join(centre, "signature").where(F.col("set") != F.col("centre.set")).groupBy("set").agg(F.max("centre").alias("centre"))
-    first = likely(nearest.select(F.col("set").alias("a"), F.col("centre.set").alias("b")), "first")
-    component = connected(spark, links(first, "links-1"), scratch, "cc1")
+    none = F.lit(0.0).alias("slack")
+    centred = near(likely(nearest.select(F.col("set").alias("a"), F.col("centre.set").alias("b"), none), "first"), "links-1")
+    component = connected(spark, centred, scratch, "cc1")
     pairs = shared.where("set <> pivot").select(F.col("set").alias("a"), F.col("pivot").alias("b")).distinct()
     one, two = (component.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
     apart = pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-    component = grown(spark, component, likely(apart.select("a", "b"), "apart"), links, scratch, "2")
+    led = near(likely(apart.select("a", "b", none), "apart"), "links-2")
+    component = grown(spark, component, led, scratch, "cc2")
+    # stars: each set with a set that it links to and their distance; itself without one
+    ties = centred.select("a", F.struct(F.lit(1).alias("step"), "far", F.col("b").alias("hub")).alias("to")).union(led.select("a", F.struct(F.lit(2), "far", "b")))
+    star = scratch.keep(ties.groupBy("a").agg(F.min("to").alias("to")).select(F.col("a").alias("of"), "to.hub", "to.far"), "stars")
     scratch.release()
 
     own = shared.join(component, F.col("set") == F.col("node"), "left").groupBy("signature", "set").agg(F.max("left").alias("left"), F.first(F.coalesce("label", "set")).alias("label"))
     own = scratch.keep(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
-    opened = scratch.keep(own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set"), "opened")
-    scratch.drop("own", "weight")
+    opened = own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set").join(star, F.col("set") == F.col("of"), "left")
+    opened = scratch.keep(opened.select("signature", "set", "label", "left", "n", F.coalesce("hub", "set").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")), "opened")
+    scratch.drop("own", "weight", "first", "apart")
     scratch.release()
     # sets whose first common signature this is agree in what is left at most; where that is too little, another signature or none joins them
     enough = lambda x, y, p, q: F.least(x, y) * (num + den) >= (F.col(p) + F.col(q)) * num
-    labels = opened.groupBy("signature", "label").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max("left").alias("left"))
-    of = lambda x: labels.select("signature", F.col("label").alias(f"l{x}"), F.col("small").alias(f"s{x}"), F.col("large").alias(f"b{x}"), F.col("left").alias(f"r{x}"))
-    near = (F.col("la") < F.col("lb")) & (F.col("ba") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("sa") * num) & enough("ra", "rb", "sa", "sb")
-    one, two = of("a"), of("b").withColumnRenamed("signature", "run")
-    meet = one.join(two, (F.col("signature") == F.col("run")) & near).select("run", "la", "lb", "sb", "bb", "rb")
-    side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("label").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"))
-    may = (F.col("n_a") * den >= F.col("sb") * num) & (F.col("bb") * den >= F.col("n_a") * num) & enough("r_a", "rb", "n_a", "sb")
-    cross = meet.join(side("a"), (F.col("run") == F.col("run_a")) & (F.col("la") == F.col("of_a")) & may)
-    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num) & enough("r_a", "r_b", "n_a", "n_b")
-    cross = cross.join(side("b"), (F.col("run") == F.col("run_b")) & (F.col("lb") == F.col("of_b")) & fits)
-    rest = likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
-    component = grown(spark, component, rest, links, scratch, "3")
-    scratch.drop("first", "apart", "opened", "rest", "links-1", "links-2", "links-3")
+    fit = lambda p, q: F.col(p) * den >= F.col(q) * num
+    stars = opened.groupBy("signature", "label", "hub").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max("left").alias("left"), F.max("far").alias("radius"))
+    of = lambda x: stars.select(F.col("signature").alias(f"run_{x}"), F.col("label").alias(f"l{x}"), F.col("hub").alias(f"h{x}"), F.col("small").alias(f"s{x}"), F.col("large").alias(f"b{x}"), F.col("left").alias(f"r{x}"), F.col("radius").alias(f"d{x}"))
+    meet = of("a").join(of("b"), (F.col("run_a") == F.col("run_b")) & (F.col("la") < F.col("lb")) & fit("ba", "sb") & fit("bb", "sa") & enough("ra", "rb", "sa", "sb"))
+    meet = scratch.keep(meet.select(F.col("run_a").alias("run"), "ha", "hb", "sb", "bb", "rb", (F.col("da") + F.col("db")).alias("reach")), "meet")
+    hubs = meet.groupBy(F.col("ha").alias("a"), F.col("hb").alias("b")).agg(F.max("reach").alias("slack"))
+    # distance is a metric: members of two stars link only where the hubs are near by their distances from the hubs
+    span = near(likely(hubs, "hubs"), "links-3").select(F.col("a").alias("ha"), F.col("b").alias("hb"), (F.col("far") - (den - num) / den - 1e-9).alias("gap"))
+    side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("hub").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"), F.col("far").alias(f"far_{x}"))
+    may = fit("n_a", "sb") & fit("bb", "n_a") & enough("r_a", "rb", "n_a", "sb")
+    close = meet.join(span, ["ha", "hb"]).where("reach >= gap")
+    cross = close.join(side("a"), (F.col("run") == F.col("run_a")) & (F.col("ha") == F.col("of_a")) & may)
+    fits = fit("n_a", "n_b") & fit("n_b", "n_a") & enough("r_a", "r_b", "n_a", "n_b") & (F.col("far_a") + F.col("far_b") >= F.col("gap"))
+    cross = cross.join(side("b"), (F.col("run") == F.col("run_b")) & (F.col("hb") == F.col("of_b")) & fits)
+    rest = likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), none).distinct(), "rest")
+    component = grown(spark, component, near(rest, "links-4"), scratch, "cc3")
+    scratch.drop("opened", "rest", "meet", "hubs", "stars", "links-1", "links-2", "links-3", "links-4")
     scratch.release()
     return members, classes, component
 
 
-def grown(spark: SparkSession, component: DataFrame, pairs: DataFrame, links, scratch: Scratch, name: str) -> DataFrame:
-    """Components after the links among more pairs."""
-    if pairs.isEmpty():
-        return component
-    more = links(pairs, f"links-{name}")
-    if more.isEmpty():
+def grown(spark: SparkSession, component: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Components after more links (a, b)."""
+    if links.isEmpty():
         return component
-    return connected(spark, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more), scratch, f"cc{name}")
+    return connected(spark, component.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links.select("a", "b")), scratch, name)
 
 
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100) -> DataFrame:

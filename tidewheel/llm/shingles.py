@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from tidewheel.llm.common import slices
+from tidewheel.llm.common import CACHES, slices
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,6 +22,7 @@ _STEP = np.array([pow(0xD6E8FEB86659FD93, k + 1, 1 << 64) for k in range(64)], n
 #: Bytes of text that are worked on at once.
 CHUNK = 1 << 19
 _powers: list[np.ndarray] = []
+CACHES["powers"] = _powers.clear
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import CACHES, Scratch, table, utf8
+from tidewheel.llm.common import CACHES, Scratch, lean_worker, table, utf8
 from tidewheel.llm.exact_dedup import exact_duplicates
 
 GROUP = ("source", "lang", "tokenizer")
@@ -95,7 +95,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 _encodings: dict[str, object] = {}
-CACHES.append(_encodings.clear)
+CACHES["counts"] = _encodings.clear
 
 
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -111,6 +111,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
         import regex
         import tiktoken
 
+        lean_worker(keep="counts")
         if path not in _encodings:
             _encodings[path] = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
         encoding, letters = _encodings[path], regex.compile(r"\p{L}+")
