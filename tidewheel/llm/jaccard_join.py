@@ -20,7 +20,8 @@ From signatures to components, without listing the pairs of a large group:
 4. Runs that now hold a single component are done. In the others the sets of different components are held against each
    other by stars: a star is a hub and the sets that were found to link to it, each with its exact distance. Jaccard distance is
    a metric, so if hubs are farther apart than the threshold and the distances of two members from them, these don't link. The
-   hubs of stars that meet are measured once, and only members that the bound leaves are verified in pairs. So a set that stays
+   hubs of stars that meet are measured once; those that link join their components, and where they are still apart only
+   members that the bound leaves are verified in pairs. So a set that stays
    apart from a large group meets the group's few hubs, not its members.
    This completes the join: each link joins two sets that share a signature, so it was verified, lies in one component or is
    ruled out by the bound. Before sets are fetched, the counts of their shingles in cells of the hash domain rule out most
@@ -285,12 +286,12 @@ def _pruner(num: int, den: int):
 
 
 def _measured(num: int, den: int):
-    """Pairs with their exact Jaccard distance, where it is at most 1 - num / den and `slack` more."""
+    """Pairs with their exact Jaccard distance, where it is at most 1 - num / den and `slack` more, and whether they link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
         for batch in batches:
-            good, far = [], []
+            good, far, link = [], [], []
             for slack, p, q in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 p, q = (np.frombuffer(z.as_buffer(), np.uint64) for z in (p, q))
                 if len(p) > len(q):
@@ -300,12 +301,13 @@ def _measured(num: int, den: int):
                     at = np.searchsorted(q, p)
                     both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
                 union = len(p) + len(q) - both
-                near = den * both >= num * union or (slack > 0 and den * both >= (num - den * slack) * union - 1e-6)
-                good.append(bool(len(p)) and near)
+                links = den * both >= num * union
+                good.append(bool(len(p)) and (links or (slack > 0 and den * both >= (num - den * slack) * union - 1e-6)))
                 if good[-1]:
                     far.append(1 - both / union)
+                    link.append(links)
             pairs = batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(far, pa.float64())], names=["a", "b", "far"])
+            yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(far, pa.float64()), pa.array(link, pa.bool_())], names=["a", "b", "far", "links"])
 
     return run
 
@@ -340,7 +342,7 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
             wanted = F.broadcast(wanted)
         sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, hashes binary"), f"{name}-sets")
         one, two = (sets.select(F.col("set").alias(x), F.col("hashes").alias(y)) for x, y in ("ap", "bq"))
-        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "slack", "p", "q").mapInArrow(_measured(num, den), "a long, b long, far double"), name)
+        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "slack", "p", "q").mapInArrow(_measured(num, den), "a long, b long, far double, links boolean"), name)
         scratch.drop(f"{name}-wanted", f"{name}-sets")
         scratch.release()
         return found
@@ -380,7 +382,11 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     meet = scratch.keep(meet.select(F.col("run_a").alias("run"), "ha", "hb", "sb", "bb", "rb", (F.col("da") + F.col("db")).alias("reach")), "meet")
     hubs = meet.groupBy(F.col("ha").alias("a"), F.col("hb").alias("b")).agg(F.max("reach").alias("slack"))
     # distance is a metric: members of two stars link only where the hubs are near by their distances from the hubs
-    span = near(likely(hubs, "hubs"), "links-3").select(F.col("a").alias("ha"), F.col("b").alias("hb"), (F.col("far") - (den - num) / den - 1e-9).alias("gap"))
+    span = near(likely(hubs, "hubs"), "links-3")
+    component = grown(spark, component, span.where("links"), scratch, "cc3")
+    one, two = (component.select(F.col("node").alias(f"h{x}"), F.col("label").alias(f"l{x}")) for x in "ab")
+    span = span.select(F.col("a").alias("ha"), F.col("b").alias("hb"), (F.col("far") - (den - num) / den - 1e-9).alias("gap")).join(one, "ha", "left").join(two, "hb", "left")
+    span = scratch.keep(span.where(F.coalesce("la", "ha") != F.coalesce("lb", "hb")).select("ha", "hb", "gap"), "span")
     side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("hub").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"), F.col("far").alias(f"far_{x}"))
     may = fit("n_a", "sb") & fit("bb", "n_a") & enough("r_a", "rb", "n_a", "sb")
     close = meet.join(span, ["ha", "hb"]).where("reach >= gap")
@@ -388,8 +394,8 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     fits = fit("n_a", "n_b") & fit("n_b", "n_a") & enough("r_a", "r_b", "n_a", "n_b") & (F.col("far_a") + F.col("far_b") >= F.col("gap"))
     cross = cross.join(side("b"), (F.col("run") == F.col("run_b")) & (F.col("hb") == F.col("of_b")) & fits)
     rest = likely(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), none).distinct(), "rest")
-    component = grown(spark, component, near(rest, "links-4"), scratch, "cc3")
-    scratch.drop("opened", "rest", "meet", "hubs", "stars", "links-1", "links-2", "links-3", "links-4")
+    component = grown(spark, component, near(rest, "links-4"), scratch, "cc4")
+    scratch.drop("opened", "rest", "meet", "hubs", "span", "stars", "links-1", "links-2", "links-3", "links-4")
     scratch.release()
     return members, classes, component
 
