@@ -162,7 +162,7 @@ def test_pii(spark):
         (3, None), (4, ""), (5, "no data, 12 apples in 2024 and 3.14"), (5, "write bob.smith@corp.example.com"), (6, "Господин Петров"), (7, "x" * 30000 + " 10.1.2.3"),
     ]
     got = collections.defaultdict(list)
-    for r in pii.replace_pii(frame(spark, rows)).collect():
+    for r in pii.replace_pii(frame(spark, rows), "k").collect():
         got[r.doc_id].append(r.text)
         assert r["set"] == "clash"
     text = " ".join(filter(None, sum(got.values(), [])))
@@ -193,7 +193,7 @@ def test_pii_long_secrets_and_short_addresses(spark):
     found = ["2001:db8::1", "::1", "fe80::a2:7", "2001:DB8:0:1::", "1:2:3:4:5:6:7:8"]
     kept = ["std::vec", "Abe::Add", "10:30:45", "a::b", "x1::y2", "::"]
     rows = [(1, f"token={jwt} end"), (2, " , ".join(found)), (3, " , ".join(kept)), (4, "at ::ffff:93.184.21.34 now, fe80::1%eth0 and [2001:db8::2]:80.")]
-    got = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace_pii(frame(spark, rows)).collect()}
+    got = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace_pii(frame(spark, rows), "k").collect()}
     text = got[1][0]
     assert text.startswith("token=") and text.endswith(" end") and len(text) == len(rows[0][1]) and not any(jwt[k : k + 12] in text for k in range(len(jwt) - 12))
     assert got[2][1] == len(found) and not set(got[2][0].split(" , ")) & set(found)

@@ -33,12 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees; a private one only where the session names none (tests)."""
+    """The folder that every executor sees. Where the session names none, a private one in local mode (tests), an error on a cluster."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not named:
         existing = spark.sparkContext._jsc.sc().getCheckpointDir()
         if existing.isDefined():
             return existing.get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors see")
         named = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
         spark.sparkContext.setCheckpointDir(named)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -88,6 +90,14 @@ def lean_worker(keep: str = "") -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def fits(df: DataFrame, *texts: str, most: int = 16 << 20) -> bool:
+    """Whether a table is small enough to broadcast: 64 bytes a row and the bytes of its text columns, `most` in all."""
+    size = F.lit(64)
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= most
+
+
 def utf8(column: str = "text"):
     """A text column as its UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"")).alias(column)

@@ -15,12 +15,16 @@ addresses other lengths and then other ranges, numbers, mail boxes and secrets a
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, table
+from tidewheel.llm.common import Scratch, fits, table
 
-DEFAULT_KEY = "tidewheel-surrogates"
+#: The session's setting that holds the key.
+KEY = "spark.tidewheel.pii.key"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 #: Patterns by type, first match first (Java syntax); possessive bounds keep long runs linear.
 PATTERNS = {
@@ -77,9 +81,12 @@ def normal(kind: Column, entity: Column) -> Column:
 
 
 def digest(key: str, *parts: Column) -> Column:
-    """128 hexadecimal digits of a keyed hash."""
-    joined = F.concat_ws("\x1f", F.lit(key), *parts)
-    return F.concat(F.sha2(F.concat(joined, F.lit("\x1f1")), 256), F.sha2(F.concat(joined, F.lit("\x1f2")), 256))
+    """128 hexadecimal digits of a keyed hash: HMAC-SHA256 of the parts and 1, then of the parts and 2."""
+    padded = (hashlib.sha256(key.encode()).digest() if len(key.encode()) > 64 else key.encode()).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ x for b in padded)) for x in (0x36, 0x5C))
+    message = F.concat_ws("\x1f", *parts)
+    half = lambda k: F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.concat(message, F.lit(f"\x1f{k}")).cast("binary")), 256))), 256)
+    return F.concat(half(1), half(2))
 
 
 def drawn(bits: Column, at: Column, below: int) -> Column:
@@ -251,9 +258,10 @@ def assign(entities: DataFrame, key: str, scratch: Scratch, rounds: int = 60) ->
     raise ValueError("some entities found no surrogate of their own; their format leaves too few")
 
 
-def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY, few: int = 200_000) -> DataFrame:
+def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """Documents with surrogates: all columns of docs, text replaced, and n_replaced long; one row for each row of docs.
 
+    The same key gives the same surrogates, also for other tables; whoever has it can draw them again, so it must be secret.
     docs needs text; other columns pass through whatever their names (n_replaced is replaced if there). Null texts stay null
     and empty ones empty; a repeated row is replaced the same way; an empty table gives an empty table.
     """
@@ -276,7 +284,7 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY, few: int = 200_000) ->
 
     pieces = F.split(F.col("text"), ANY, -1)
     own = numbered.select("__row", F.explode(F.array_distinct("__hits")).alias("entity"))
-    small = whole.count() <= few
+    small = fits(whole, "entity", "new")
     maps = own.join(F.broadcast(whole) if small else whole, "entity").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("entity", "new"))).alias("__map"))
     filled = numbered.join(maps, "__row").withColumn("__pieces", pieces)
     glued = F.array_join(F.transform("__pieces", lambda p, k: F.concat(p, F.coalesce(F.element_at(F.col("__map"), F.get(F.col("__hits"), k)), F.lit("")))), "")
@@ -286,4 +294,6 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY, few: int = 200_000) ->
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "n_replaced")
+    """Surrogates under the session's key; without one, under a key that is drawn for this query and kept nowhere."""
+    key = spark.conf.get(KEY, None) or secrets.token_hex(32)
+    return replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), key).select("doc_id", "text", "n_replaced")

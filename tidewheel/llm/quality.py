@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, byte_view, slices, table, utf8
+from tidewheel.llm.common import Scratch, byte_view, fits, lean_worker, slices, table, utf8
 from tidewheel.llm.shingles import word_hashes
 from tidewheel.llm.toxicity import held_out, joined
 
@@ -113,17 +113,31 @@ def shrunk(groups: DataFrame, prior: Column, strength: Column, name: str) -> Dat
     return groups.withColumn(name, (F.col("total") + strength * prior) / (F.col("n") + strength))
 
 
-def moments(groups: DataFrame) -> tuple[float, float]:
-    """(mean, prior strength) of groups (n, total, squares): strength is the variance within over the variance between groups."""
-    row = groups.agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"), F.sum(F.col("total") * F.col("total") / F.col("n")).alias("between"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("k")
+def strength_of(within: float, between: float, groups: float, parents: float, effective: float) -> float:
+    """Prior strength by the method of moments: the variance within groups over that of group means around their parents'.
+
+    between: sum of squares of group means around the parents' means; effective: the factor of the spread in its expectation.
+    """
+    spread = (between - (groups - parents) * within) / max(1e-9, effective) if groups > parents else 0.0
+    return float(np.clip(within / spread if spread > 0 else 1e4, 1.0, 1e4))
+
+
+def moments(paths: DataFrame) -> tuple[float, float, float]:
+    """(mean, prior strength of hosts around it, prior strength of paths around their host) of paths (host, n, total, squares)."""
+    hosts = paths.groupBy("host").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"), F.count("*").alias("k"), F.sum(F.col("total") * F.col("total") / F.col("n")).alias("means"), F.sum(F.col("n") * F.col("n")).alias("nn")
+    )
+    own = F.col("total") * F.col("total") / F.col("n")
+    row = hosts.agg(
+        *(F.sum(c).alias(c) for c in ("n", "total", "squares", "k", "means")), F.sum(own).alias("own"), F.sum(F.col("nn") / F.col("n")).alias("share"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("hosts")
     ).first()
     if not row.n:
-        return 0.5, 1.0
+        return 0.5, 1.0, 1.0
     mean = row.total / row.n
-    within = max(1e-6, (row.squares - row.between) / max(1, row.n - row.k))
-    spread = (row.between - row.n * mean * mean - (row.k - 1) * within) / max(1e-9, row.n - row.nn / row.n) if row.k > 1 else 0.0
-    return float(mean), float(np.clip(within / spread if spread > 0 else 1e4, 1.0, 1e4))
+    in_paths = max(1e-6, (row.squares - row.means) / max(1, row.n - row.k))
+    in_hosts = max(1e-6, (row.squares - row.own) / max(1, row.n - row.hosts))
+    by_host = strength_of(in_hosts, row.own - row.n * mean * mean, row.hosts, 1, row.n - row.nn / row.n)
+    return float(mean), by_host, strength_of(in_paths, row.means - row.own, row.k, row.hosts, row.n - row.share)
 
 
 def logit(p: Column) -> Column:
@@ -146,6 +160,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None
     model = spark.sparkContext.broadcast(fit(*training_rows(docs, labels, max_train)))  # a few hundred weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         for batch in batches:
             found = model.value.evidence(style(*byte_view(batch.column(3))))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(found)], names=["doc_id", "host", "path", "evidence"])
@@ -155,11 +170,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None
     sums = [F.count("*").alias("n"), F.sum("evidence").alias("total"), F.sum(F.col("evidence") * F.col("evidence")).alias("squares")]
     paths = scratch.keep(rows.groupBy("host", "path").agg(*sums), "paths")
     hosts = paths.groupBy("host").agg(*(F.sum(c).alias(c) for c in ("n", "total", "squares")))
-    mean, by_host = moments(hosts)
-    _, by_path = moments(paths)
+    mean, by_host, by_path = moments(paths)
     shrunk_hosts = shrunk(hosts, F.lit(mean), F.lit(by_host), "host_posterior").select(F.col("host").alias("of"), "host_posterior")
     known = scratch.keep(paths.join(shrunk_hosts, F.col("host") == F.col("of")).select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "n", "total", "host_posterior"), "known")
-    known = F.broadcast(known) if known.count() <= 50_000 else known
+    known = F.broadcast(known) if fits(known, "of_host", "of_path") else known
     met = rows.join(known, (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")))
     others = (F.col("total") - F.col("evidence") + by_path * F.col("host_posterior")) / (F.col("n") - 1 + by_path)
     total = logit(F.col("evidence")) + logit(others) - F.lit(float(np.log(mean / (1 - mean))) if 0 < mean < 1 else 0.0)

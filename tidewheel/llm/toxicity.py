@@ -22,8 +22,8 @@ from tidewheel.llm.common import byte_view, lean_worker, slices, table, utf8
 from tidewheel.llm.shingles import CHUNK, mix, shingle_sets
 from tidewheel.llm.words import Words
 
-#: Fewest training documents (near copies count once) that a lexicon feature is in, and the most features.
-SUPPORT, FEATURES = 6, 3_000
+#: Fewest training documents (near copies count once) that a lexicon feature is in.
+SUPPORT = 6
 LEXICON_VOTERS = 24
 
 
@@ -81,8 +81,8 @@ def without_near_copies(texts: list[bytes]) -> np.ndarray:
     return keep
 
 
-def mine_lexicon(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features whose presence speaks for label 1, and the documents that have each."""
+def mine_lexicon(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` features whose presence speaks most clearly for label 1, and the documents that have each."""
     pairs = []
     for first, last in slices(offsets, CHUNK):
         at = offsets[first : last + 1]
@@ -99,7 +99,7 @@ def mine_lexicon(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray) -> tu
     rate = (toxic.sum() + 1) / (len(toxic) + 2)
     z = (hit - count * rate) / np.sqrt(count * rate * (1 - rate))
     good = np.flatnonzero((hit >= SUPPORT) & (hit / count >= max(0.6, 3 * rate if rate < 0.25 else 0.75)) & (z > 6))
-    good = good[np.argsort(-z[good], kind="stable")][:FEATURES]
+    good = good[np.argsort(-z[good], kind="stable")][:most]
     return np.sort(found[good]), hit[good][np.argsort(found[good])]
 
 
@@ -117,11 +117,12 @@ def votes_of(texts: list[bytes], present: np.ndarray, strength: np.ndarray) -> n
     return np.stack(columns, 1)
 
 
-def label_model(votes: np.ndarray, share: float, rounds: int = 40) -> np.ndarray:
+def label_model(votes: np.ndarray, share: float, rounds: int = 40, shrink: float = 0.7) -> np.ndarray:
     """Posterior probability of label 1 from the votes and the share of label 1.
 
-    Rates of each vote given the label by expectation maximisation, started from any vote for 1 against none. Voter j's
-    evidence counts 1 / (1 + the sum of its correlations above 0.3 with the others given the label), a tenth at least.
+    Rates of each vote given the label by expectation maximisation, started from any vote for 1 against none. The model also
+    estimates how voters correlate given the label; their evidence is weighted by the inverse of that correlation matrix, which
+    is shrunk toward independence as it is estimated from few documents, so opinions that come together count about once.
     """
     n, m = votes.shape
     cases = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
@@ -133,13 +134,15 @@ def label_model(votes: np.ndarray, share: float, rounds: int = 40) -> np.ndarray
             counts = np.einsum("n,nmv->mv", p, cases) + 0.5
             rates.append(counts / counts.sum(1, keepdims=True))
         if step % 10 == 0:
-            excess = np.zeros((m, m))
+            together = np.zeros((m, m))
             for p, rate in zip((1 - post, post), rates, strict=True):
                 centred = (votes - rate @ np.array([-1, 0, 1])) * np.sqrt(p)[:, None]
                 cov = centred.T @ centred
                 spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                excess += np.clip(cov / np.outer(spread, spread) - 0.3, 0, 1) * p.mean()
-            weight = np.clip(1 / (1 + excess.sum(1) - np.diag(excess)), 0.1, 1)
+                together += cov / np.outer(spread, spread) * p.mean()
+            related = (1 - shrink) * together
+            np.fill_diagonal(related, 1)
+            weight = np.clip(np.linalg.solve(related, np.ones(m)), 0.05, 1)
         gain = np.einsum("nmv,mv,m->n", cases, np.log(rates[1]) - np.log(rates[0]), weight)
         post = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + gain, -30, 30)))
     return post
@@ -168,15 +171,15 @@ def fit_linear(present: np.ndarray, target: np.ndarray, rounds: int = 400, ridge
     return w, b
 
 
-def fit(texts: list[bytes], labels: list[int]) -> ToxicModel:
-    """A model from labelled texts. Without any lexicon feature every score is the share of label 1, held below 0.5."""
+def fit(texts: list[bytes], labels: list[int], max_features: int = 3_000) -> ToxicModel:
+    """A model of at most max_features lexicon features from labelled texts. Without any lexicon feature every score is the share of label 1, held below 0.5."""
     toxic = np.array(labels, float)
     if not len(texts):
         return ToxicModel(np.zeros(0, np.uint64), np.zeros(0), -3.0)
     single = np.flatnonzero(without_near_copies(texts))
     texts, toxic = [texts[k] for k in single], toxic[single]
     data, offsets = joined(texts)
-    features, strength = mine_lexicon(data, offsets, toxic)
+    features, strength = mine_lexicon(data, offsets, toxic, max_features)
     share = min(0.4, max(0.01, toxic.mean()))
     if not len(features):
         return ToxicModel(features, np.zeros(0), float(np.log(share / (1 - share))))
@@ -196,16 +199,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[b
     return [bytes(r.text) for r in rows], [r.toxic for r in rows]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, max_train: int = 8_000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, max_train: int = 8_000, max_features: int = 3_000) -> DataFrame:
     """Toxicity of every whole text: doc_id, held_out boolean, score double, predicted int; one row for each row of docs.
 
     labels: doc_id, toxic (0/1); rows with null in either are not learned from. train_docs: where the labelled texts are
-    (default docs). max_train bounds the labelled rows that the model is fitted on. Null texts count as empty and get the
+    (default docs). max_train bounds the labelled rows that the model is fitted on, max_features its lexicon. Null texts count as empty and get the
     score of a text without any hit; null ids stay null and count as not held out. Only doc_id and text are read.
     """
     source = docs if train_docs is None else train_docs
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit(*training_rows(source, labels, max_train)))  # FEATURES bounds it
+    model = spark.sparkContext.broadcast(fit(*training_rows(source, labels, max_train), max_features))  # bounded by max_features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker()
@@ -220,10 +223,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | N
     return own.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, max_train: int = 8_000) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, max_train: int = 8_000, max_features: int = 3_000) -> DataFrame:
     """The rows of docs that score_toxicity predicts as 0; all columns, in one pass."""
     source = docs if train_docs is None else train_docs
-    model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(source, labels, max_train)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(source, labels, max_train), max_features))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

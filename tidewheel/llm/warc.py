@@ -33,6 +33,8 @@ SKIPPABLE = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:tidewheel:page:"
 EPOCH = "1970-01-01T00:00:00Z"
+#: Fewest records that a dictionary can be trained on.
+FEWEST = 16
 
 
 @dataclass
@@ -67,7 +69,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
 
 def build_dictionary(samples: list[bytes], size: int) -> bytes:
     """A dictionary from records; empty where there are too few to train one."""
-    if len(samples) < 16:
+    if len(samples) < FEWEST:
         return b""
     try:
         return zstandard.train_dictionary(size, samples, level=3).as_bytes()
@@ -134,16 +136,20 @@ def revisits(pages: DataFrame, scratch: Scratch, min_bytes: int) -> DataFrame:
     return found
 
 
-def write_archives(pages: DataFrame, folder: str, scratch: Scratch, min_bytes: int = 0, level: int = 3, dictionary_size: int = 32_768, sample: int = 600, few: int = 1_000_000) -> DataFrame:
+def write_archives(
+    pages: DataFrame, folder: str, scratch: Scratch, min_bytes: int = 0, level: int = 3, dictionary_size: int = 32_768, sample: int = 600, sample_bytes: int = 65_536, few: int = 1_000_000
+) -> DataFrame:
     """Write pages (page_id, url, html) as archives in folder; returns (archive string, records long, bytes long).
 
-    sample bounds the records that the dictionary is built from (smallest hashes of page_id first).
+    The dictionary is built from at most `sample` records of at most `sample_bytes` bytes of html (smallest hashes of page_id
+    first), so the driver holds their product at most. It only decides how small the archives get. From fewer than
+    FEWEST records none can be trained; the leading frame is empty then and records are compressed without.
     """
     spark = pages.sparkSession
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), utf8("html"))
     again = revisits(own, scratch, min_bytes)
-    chosen = own.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
-    rows = own.join(F.broadcast(chosen), "page_id").limit(sample).collect()
+    chosen = own.where((F.octet_length("html") <= sample_bytes) & F.col("page_id").isNotNull()).select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
+    rows = own.where(F.octet_length("html") <= sample_bytes).join(F.broadcast(chosen), "page_id").limit(sample).collect()
     dictionary = spark.sparkContext.broadcast(build_dictionary([record_bytes(r.page_id, r.url, bytes(r.html), None) for r in rows], dictionary_size))
     if again.count() <= few:  # 16 bytes each
         again = F.broadcast(again)
@@ -201,7 +207,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         yield pack(rows)
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return archives.select("archive").repartition("archive").mapInArrow(run, schema)
+    tasks = max(1, archives.count())  # one for each archive; a number that is asked for isn't coalesced
+    return archives.select("archive").repartition(tasks).mapInArrow(run, schema)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
