@@ -155,6 +155,84 @@ def test_decontamination_in_other_case(spark):
     assert all(c for c, _ in found_leaks(spark, [old], [old.upper(), old.lower()]).values())
 
 
+def leaks_by_hand(items, texts):
+    """Contamination by plain loops over the same rules."""
+
+    def words(t):
+        return [w for w in re.split(r"[\W_]+", t) if w]
+
+    def template(raw):
+        typed = ["<number>" if w[0].isdigit() else w if w.lower() == w else "<name>" if w.upper() != w and w[0].lower() != w[0] else w.lower() for w in raw]
+        return ["<unit>" if k and typed[k - 1] == "<number>" and w in decontaminate.UNITS else w for k, w in enumerate(typed)]
+
+    def spelled(raw, tokens):
+        low = [w.lower() if t == "<name>" else t for w, t in zip(raw, tokens)]
+        return ["<unit>" if t == "<name>" and k and tokens[k - 1] == "<number>" and low[k] in decontaminate.UNITS else low[k] for k, t in enumerate(tokens)]
+
+    def views(raw):
+        tokens = template(raw)
+        return tokens, spelled(raw, tokens)
+
+    found = []
+    for text in texts:
+        own, best = words(text or ""), (0.0, None)
+        for item_id, item in enumerate(items):
+            raw = words(item or "")
+            n = min(len(raw), 8)
+            if not n or (n < 4 and len(own) != n):
+                continue
+            tokens = template(raw)
+            plain = lambda seq: sum(t not in ("<number>", "<name>", "<unit>") for t in seq)
+            theirs = {}
+            for exact, view in enumerate(views(raw)):
+                for at in range(len(raw) - n + 1):
+                    if plain(view[at : at + n]) >= (min(4, max(1, n // 2)) if exact else 4):
+                        theirs.setdefault(tuple(view[at : at + n]), []).append((at, exact))
+            rows = set()
+            for view in views(own):
+                for k in range(len(own) - n + 1):
+                    rows |= {(k, at, exact) for at, exact in theirs.get(tuple(view[k : k + n]), [])}
+            good = set()
+            for shift in {k - at for k, at, _ in rows}:
+                here = {(k, at, e) for k, at, e in rows if k - at == shift}
+                slots = {(at + j, raw[at + j].lower(), own[k + j].lower()) for k, at, _ in here for j in range(n) if tokens[at + j] == "<name>"}
+                pairs = collections.Counter((a, b) for _, a, b in slots)
+                left, right = collections.Counter(), collections.Counter()
+                for (a, b), c in pairs.items():
+                    left[a] += c
+                    right[b] += c
+                agree = sum(c for (a, b), c in pairs.items() if 2 * c > left[a] and 2 * c > right[b])
+                split = agree < 0.5 * sum(pairs.values())
+                good |= {(at, e) for k, at, e in here if not split or [w.lower() for w in raw[at : at + n]] == [w.lower() for w in own[k : k + n]]}
+            every = [x for v in theirs.values() for x in v]
+            telling, exacts = {at for at, e in every if not e}, {at for at, e in every if e}
+            share = max(len({at for at, _ in good} & telling) / len(telling) if telling else 0, len({at for at, e in good if e}) / len(exacts) if exacts else 0)
+            if share > best[0]:
+                best = (share, item_id)
+        found.append((best[0] >= 0.3, best[1], round(best[0], 9)))
+    return found
+
+
+def test_decontamination_equals_brute_force(spark):
+    rnd = random.Random(9)
+    names = ["Alice", "Bob", "Carol", "Dave", "Paris", "Rome"]
+    vocabulary = [w + s for w in WORDS for s in ("", "a", "en")]
+
+    def sentence(n):
+        return " ".join(rnd.choice(names) if (x := rnd.random()) < 0.15 else str(rnd.randint(1, 99)) if x < 0.25 else rnd.choice(["km", "kg", "days"]) if x < 0.3 else rnd.choice(vocabulary) for _ in range(n))
+
+    items = [sentence(n) for n in range(1, 41)] + ["what is the capital of Australia", "", None, "Alice"]
+    texts = [None, "", "Alice", "ALICE", "so what is the capital of France then", "what is the capital of Australia", sentence(400)]
+    for item in items[:41]:
+        words = item.split()
+        texts += [item, item.upper(), sentence(30) + " " + item + ", " + sentence(9), re.sub("|".join(names), lambda m: names[(names.index(m[0]) + 1) % 6], item)]
+        texts += [re.sub(r"\d+", "7", item), " ".join(words[: len(words) // 2 + 1]), " ".join(rnd.choice(names) if w in names else w for w in words), item + " " + item]
+    bench = spark.createDataFrame([*enumerate(items), (5, items[5])], "item_id long, text string")
+    got = sorted((r.doc_id, r.contaminated, r.item_id, round(r.coverage, 9)) for r in decontaminate.contamination(frame(spark, list(enumerate(texts))), bench).collect())
+    assert got == [(k, *row) for k, row in enumerate(leaks_by_hand(items, texts))]
+    assert [got[k][1] for k in (4, 5)] == [True, True]
+
+
 def test_pii(spark):
     rows = [
         (1, "Mail bob.smith@corp.example.com or BOB.SMITH@CORP.EXAMPLE.COM, +1 (017) 555-7713; 97.51.17.173 and 192.168.3.4; card 4111 1111 1111 1111"),
