@@ -6,6 +6,7 @@ import hashlib
 import io
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -346,6 +347,50 @@ def test_html_scan_decides_inside_an_article():
     assert html_text.extract(f"<main><div>{links}</div><div>{BODY}</div></main>") == ["A head & tail", "One two three.", "é中 five six seven eight nine ten eleven.", "End of it here."]
 
 
+LONG = "one two three four five six seven eight nine ten eleven. " * 3
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f'<article><header class="article-header"><h1>Title here</h1></header><p>{LONG}</p></article>', ["Title here", LONG.strip()]),
+        (f'<main><p>{LONG}</p><section id="search-algorithms"><p>{LONG}</p></section><p class="form-intro">{LONG}</p></main>', [LONG.strip()] * 3),
+        (f'<main><p>{LONG}</p><div class="comments-list"><p>{LONG}</p></div><div id="relatedPosts"><p>{LONG}</p></div></main>', [LONG.strip()]),
+        (f"<article><p>ok</p></article><div><p>{LONG}</p><p>{LONG}</p></div>", [LONG.strip()] * 2),
+        (f'<div class="card"><article><a href=x>A teaser in a card</a></article></div><div><h1>Post</h1><p>{LONG}</p><p>{LONG}</p></div>', ["Post", LONG.strip(), LONG.strip()]),
+        (f'<div class="content sidebar"><p>{LONG}</p></div>', [LONG.strip()]),
+    ],
+)
+def test_html_names_and_articles(body, want):
+    assert html_text.extract(f"<html><body>{body}</body></html>") == want
+
+
+def test_html_weights_come_from_the_labelled_pages():
+    for page in html_text.LABELLED:
+        pieces = [(p, content) for markup, content in page for p in html_text.tokens(markup)]
+        first, last = html_text.best_region(html_text.scored([p for p, _ in pieces], html_text.WEIGHTS))
+        assert [p for p, content in pieces if content and p.words] == [p for p, _ in pieces[first:last] if p.words]
+    weights = html_text.WEIGHTS
+    assert weights["word"] == 1 and all(w < 0 for k, w in weights.items() if k.startswith("tag"))
+    other = html_text.learned(pages=[((("<p>here</p>", False), ("<ul><li>a b c d e f</li></ul>", True)))] * 2)
+    assert other != weights
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40000 + "x", "<b>" * 40000 + "<p>x" * 1000, "<b><div>" + "<i>" * 20000 + "</b>" * 20000, "<ul>" + "<li><span>" * 20000, "<a 'x>" * 20000, "<p>word " * 50000])
+def test_html_time_is_linear(page):
+    began = time.monotonic()
+    html_text.extract(page)
+    assert time.monotonic() - began < 2
+
+
+def test_html_long_and_clashing(spark):
+    long = "word " * 300_000
+    rows = [(1, "u", f"<article><p>{long}</p></article>", "clash", 7), (None, None, "<p>a", None, None)]
+    got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")).collect()
+    assert sorted((r.n_chars, r.text) for r in got) == [(1, "a"), (len(long) - 1, long.strip())]
+    assert html_text.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "just words & more"), (4, "u", "<p>a<p>b"), (4, "u", "<p>a<p>b"), (5, "u", "<div " * 2000), (6, "u", "<nav>only menu</nav>")]
     got = [tuple(r) for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]

@@ -2,7 +2,8 @@
 
 A page is a sequence of tokens: words and tags. Words score positive and tags negative, by weights that come from labelled
 pages: for each kind of token the smoothed log-odds of standing in the content. A word's kind is what surrounds it (plain
-text, link, boilerplate element), a tag's kind is its role (inline, paragraph, list, structure, boilerplate). One linear scan
+text, link, boilerplate element), a tag's kind is its role (inline, paragraph, list, structure, boilerplate); the weights are trained until the scan finds the
+labelled regions. One linear scan
 (Kadane's) finds the best contiguous region; blocks of the region that lie in menus, notices, adverts, forms or reader
 comments are left out, the rest are the text.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,17 +36,23 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 BOILERPLATE = frozenset("nav footer aside form button menu dialog fieldset".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd dt".split())
 LIST = frozenset("ul ol li dl table thead tbody tfoot tr td th caption figure".split())
-#: Words of class, id or role that tell of boilerplate; whole words between separators.
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promotion|nav|navbar|navigation|menu|topbar|toolbar|breadcrumb|breadcrumbs|crumbs|"
-    r"sidebar|side|aside|rail|widget|widgets|complementary|footer|foot|contentinfo|copyright|masthead|siteheader|site-header|page-header|header|"
-    r"cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|lightbox|paywall|"
-    r"comment|comments|commentlist|discussion|disqus|respond|replies|reply|reviews|"
-    r"form|search|searchbox|login|signup|subscribe|subscription|newsletter|"
-    r"share|sharing|social|follow|related|recommended|recommendations|more-stories|trending|popular|tags|tagcloud|pagination|pager|skip|skip-link|sr-only|hidden|print-only)(?:$|[\s_-])",
-    re.I,
+#: Words of a class or id that tell of boilerplate, those that only tell where or what shape, and those that tell of content.
+HINTS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu topbar toolbar breadcrumb breadcrumbs crumbs "
+    "sidebar aside rail widget widgets complementary footer foot contentinfo copyright masthead siteheader header cookie cookies consent gdpr notice notices notification alert popup modal "
+    "overlay lightbox paywall comment comments commentlist discussion disqus respond replies reply reviews form search searchbox login signup subscribe subscription newsletter share sharing "
+    "social follow related recommended recommendations trending popular tags tagcloud pagination pager skip hidden".split()
 )
-GLUED = re.compile(r"(?:side|nav|menu|cookie|comment|advert|banner|footer|share|social|related|newsletter|subscribe|popup)(?:bar|s|box|list|section|area|block|wrap|wrapper|container|thread|notice|form|links|posts|ment)?$", re.I)
+NEUTRAL = frozenset(
+    "left right top bottom upper lower side main site page web global primary secondary box bar area block wrap wrapper wrap container section sections region holder list links link item items "
+    "button buttons btn icon icons slot unit inner outer sticky fixed row col column group panel pane thread feed posts post stories more by on the to for your you may also like only print sr "
+    "is has mobile desktop bs s".split()
+)
+CONTENT = frozenset("content article story body text".split())
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+GLUED = re.compile(r"(side|nav|menu|cookie|comment|advert|banner|footer|share|social|related|newsletter|subscribe|popup)(bars?|box|list|section|area|block|wrap|wrapper|container|thread|notice|form|links|posts|ment)")
+BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CONTENT_ROLES = frozenset(("main", "article"))
 CLOSES_P = PARAGRAPH | LIST | BOILERPLATE | frozenset("div section article main header hr address details summary center".split())
 
@@ -59,36 +66,88 @@ class Piece:
         self.kind, self.words, self.text, self.block, self.bad, self.article = kind, words, text, block, bad, article
 
 
-def hinted(attributes: str) -> tuple[bool, str]:
-    """(whether class, id, role or style tell of boilerplate, the role)."""
-    bad, role = False, ""
+def boilerplate_name(name: str) -> bool:
+    """Whether a class or id names boilerplate: each of its words does or says only where it stands. One such word among others tells nothing."""
+    words = [w.lower() for w in PARTS.findall(name)]
+    told = [w in HINTS or bool(GLUED.fullmatch(w)) for w in words]
+    return any(told) and all(t or w in NEUTRAL for t, w in zip(told, words, strict=True))
+
+
+def hinted(attributes: str) -> tuple[bool, bool, str]:
+    """(whether the element is hidden or has a role of boilerplate, whether its names tell of boilerplate, the role)."""
+    bad, named, content, role = False, False, False, ""
     for name, double, single, bare in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), double or single or bare
         if name == "role":
             role = value.strip().lower()
-            bad |= role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar")
+            bad |= role in BAD_ROLES
         elif name in ("class", "id"):
             for word in value.split():
-                bad |= bool(HINT.search(word) or GLUED.search(word))
+                named |= boilerplate_name(word)
+                parts = {w.lower() for w in PARTS.findall(word)}
+                content |= bool(parts & CONTENT) and parts <= CONTENT | NEUTRAL
         elif name == "itemprop":
             bad |= value.strip().lower() == "comment"
         elif name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
             bad = True
         elif name == "style":
-            bad |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-    return bad, role
+            bad |= bool(HIDDEN.search(value))
+    return bad, named and not content, role
+
+
+class Open:
+    """The elements that are open at a place of a page; each question takes constant time, however deep they are nested."""
+
+    ROOT = ("", False, 0, False, False, -1, "body")
+
+    def __init__(self):
+        self.stack: list[tuple] = []  # name, boilerplate, article number, raw, in a link, last block element, nearest of body, main and article
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+
+    @property
+    def top(self) -> tuple:
+        return self.stack[-1] if self.stack else self.ROOT
+
+    def push(self, name: str, bad: bool, article: int, raw: bool) -> None:
+        above, k = self.top, len(self.stack)
+        self.places[name].append(k)
+        self.stack.append((name, bad, article, raw, above[4] or name == "a", above[5] if name in INLINE else k, name if name in ("article", "main", "body") else above[6]))
+
+    def nearest(self, *names: str) -> int:
+        """Place of the innermost open element of these names, -1 without one."""
+        return max((self.places[n][-1] for n in names if self.places[n]), default=-1)
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from a place on."""
+        while len(self.stack) > depth:
+            self.places[self.stack.pop()[0]].pop()
+
+    def close(self, name: str) -> None:
+        """A closing tag: ends the nearest element of its name; an inline one doesn't reach beyond its block."""
+        depth = self.nearest(name)
+        if depth >= 0 and (name not in INLINE or self.top[5] < depth):
+            self.cut(depth)
+
+    def make_way(self, name: str) -> None:
+        """What an opening tag ends without a closing one: a paragraph, the item or cell before it."""
+        if name in CLOSES_P:
+            depth = self.nearest("p")
+            if depth >= 0 and self.top[5] == depth:
+                self.cut(depth)
+        if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
+            same = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
+            depth = self.nearest(*same)
+            if depth > self.nearest("ul", "ol", "table", "dl"):
+                self.cut(depth)
 
 
 def tokens(page: str) -> Iterator[Piece]:
-    """Tokens of a page in order. Copes with unclosed and wrongly nested elements: a closing tag ends the nearest element of its name, and nothing if there is none."""
-    stack: list[tuple[str, bool, int, bool]] = []  # name, boilerplate, article number, raw
+    """Tokens of a page in order. Copes with unclosed and wrongly nested elements, in time linear in the page."""
+    elements = Open()
     block, at, articles, n = 0, 0, 0, len(page)
 
-    def state() -> tuple[bool, int, bool, bool]:
-        return (stack[-1][1], stack[-1][2], stack[-1][3], any(s[0] == "a" for s in stack)) if stack else (False, 0, False, False)
-
     def told(text: str) -> Iterator[Piece]:
-        bad, article, raw, linked = state()
+        _, bad, article, raw, linked, _, _ = elements.top
         if text and not raw:
             text = html.unescape(text)
             words = len(text.split())
@@ -108,49 +167,33 @@ def tokens(page: str) -> Iterator[Piece]:
             continue
         name = name.lower()
         inline = name in INLINE
+        if name == "br":
+            yield from told(" ")
         if closing:
             if name == "br":
-                yield from told(" ")
                 continue
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
-            if depth >= 0 and (not inline or all(s[0] in INLINE for s in stack[depth + 1 :])):
-                del stack[depth:]
+            elements.close(name)
         else:
-            if name in CLOSES_P:
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"), -1)
-                if depth >= 0 and all(s[0] in INLINE for s in stack[depth + 1 :]):
-                    del stack[depth:]
-            if name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                same = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in same or stack[k][0] in ("ul", "ol", "table", "dl")), -1)
-                if depth >= 0 and stack[depth][0] in same:
-                    del stack[depth:]
-            bad, article, raw, _ = state()
-            hint, role = hinted(attributes) if attributes else (False, "")
-            body = name in ("body", "html", "article", "main") or role in CONTENT_ROLES
-            outer = next((s[0] for s in reversed(stack) if s[0] in ("article", "main", "body")), "body")
-            bad = bad or name in BOILERPLATE or (hint and not body) or (name == "header" and outer == "body")
-            if name in ("article", "main") or role in CONTENT_ROLES:
-                if not article and not bad:
-                    articles += 1
-                    article = articles
-            if name == "br" or name == "wbr":
-                if name == "br":
-                    yield from told(" ")
+            elements.make_way(name)
+            _, bad, article, raw, _, _, outer = elements.top
+            hidden, named, role = hinted(attributes) if attributes else (False, False, "")
+            main = name in ("article", "main") or role in CONTENT_ROLES
+            bad = bad or name in BOILERPLATE or hidden or (named and name not in ("body", "html", "main")) or (name == "header" and outer == "body")
+            if main and not article and not bad:
+                articles += 1
+                article = articles
+            if name in UNTIL_CLOSED:
+                at = re.compile(rf"</{re.escape(name)}\s*>|\Z", re.I).search(page, at).end()
             elif name not in VOID and not attributes.rstrip().endswith("/"):
-                stack.append((name, bad, article, raw or name in RAW))
-                if name in UNTIL_CLOSED:
-                    end = re.compile(rf"</{re.escape(name)}\s*>|\Z", re.I).search(page, at)
-                    at = end.end()
-                    stack.pop()
+                elements.push(name, bad, article, raw or name in RAW)
         if not inline:
             block += 1
-        now = state()
-        kind = "tag:bad" if now[0] else "tag:inline" if inline else "tag:paragraph" if name in PARAGRAPH else "tag:list" if name in LIST else "tag:structure"
-        yield Piece(kind, 0, "", block, now[0], now[1])
+        now = elements.top
+        kind = "tag:bad" if now[1] else "tag:inline" if inline else "tag:paragraph" if name in PARAGRAPH else "tag:list" if name in LIST else "tag:structure"
+        yield Piece(kind, 0, "", block, now[1], now[2])
 
 
-#: Labelled pages: (markup, whether it is content), in page order. The weights are log-odds over their tokens.
+#: Labelled pages: (markup, whether it is content), in page order. What is boilerplate inside content counts as content here, as a region is contiguous.
 LABELLED = (
     (("<nav><ul><li><a href=x>Home</a></li><li><a href=x>News of today</a></li></ul></nav><div class=ad>Buy one and get one now</div>", False),
      ("<article><h1>A long day by the river</h1><p>The boat left before anyone was awake and came back late with nets that were <b>empty</b>.</p><p>Nobody asked why it had gone so far, and so the story stayed untold for years.</p><p>Then, short.</p></article>", True),
@@ -161,6 +204,9 @@ LABELLED = (
     (("<table><tr><td><a href=x>Index</a></td><td><a href=x>Archive</a></td></tr></table><div class='cookie-notice'>We use cookies on this site. Accept all of them?</div>", False),
      ("<p>It rained for a week, and the road to the mill was gone when we got up on the eighth day.</p><blockquote>Water keeps what it takes</blockquote><p>said the miller, who had lost two roads that way before and did not seem to mind a third.</p>", True),
      ("<aside>More stories for you</aside><div><a href=x>Next</a> <a href=x>Previous</a></div>", False)),
+    (("<header><div class=logo><a href=x>The Paper</a></div></header>", False),
+     ("<div><h1>The bridge</h1><p>It was built twice, and fell down once.</p><div class=ad>Cheap shoes here</div><p>Nobody was on it.</p><aside><a href=x>More on bridges</a></aside><p>They say that the third one will be made of stone from the old quarry, if the money lasts.</p></div>", True),
+     ("<ul><li><a href=x>One</a></li><li><a href=x>Two</a></li></ul><p>Imprint</p>", False)),
 )
 
 #: Labelled pages on which articles stand beside other text: they tell how much more a word in an article counts.
@@ -172,33 +218,6 @@ MARKED = (
 )
 
 
-def learned(pages=LABELLED, marked=MARKED) -> dict[str, float]:
-    """Weight of each kind of token: smoothed log-odds of content, words kept above 0 in plain text, tags below 0; 'article': what a word in an article counts against one outside, 1 at least."""
-    sides = {(side, content): 0.5 for side in (True, False) for content in (True, False)}
-    for page in marked:
-        for markup, content in page:
-            for piece in tokens(markup):
-                sides[bool(piece.article), content] += piece.words
-    share = {side: sides[side, True] / (sides[side, True] + sides[side, False]) for side in (True, False)}
-    inside, outside = Counter(), Counter()
-    for page in pages:
-        for markup, content in page:
-            for piece in tokens(markup):
-                (inside if content else outside)[piece.kind] += piece.words if piece.words else piece.kind.startswith("tag")
-    kinds = ("word", "word:link", "word:bad", "tag:inline", "tag:paragraph", "tag:list", "tag:structure", "tag:bad")
-    total = [sum(c.values()) for c in (inside, outside)]
-    odds = {k: math.log((inside[k] + 0.5) / total[0]) - math.log((outside[k] + 0.5) / total[1]) for k in kinds}
-    positive = max(odds["word"], 0.1)
-    found = {"word": 1.0, "word:link": max(-1.0, min(1.0, odds["word:link"] / positive)), "word:bad": max(-0.25, min(-0.1, odds["word:bad"] / positive))}
-    # a tag costs less than the word that it may stand around
-    found |= {k: -0.45 / (1 + math.exp(odds[k])) for k in ("tag:inline", "tag:paragraph", "tag:list")}
-    # a notice inside the text must not cost more than the paragraph after it
-    return found | {"article": max(1.0, share[True] / share[False]), "tag:structure": -2.0 / (1 + math.exp(min(0.0, odds["tag:structure"]))), "tag:bad": -0.5 / (1 + math.exp(min(0.0, odds["tag:bad"])))}
-
-
-WEIGHTS = learned()
-
-
 def best_region(scores: list[float]) -> tuple[int, int]:
     """The contiguous region of the highest sum, by one scan; the longest of equal ones, (0, 0) if none is above 0."""
     best, span, total, start = 0.0, (0, 0), 0.0, 0
@@ -211,6 +230,54 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return span
 
 
+KINDS = ("word", "word:link", "word:bad", "tag:inline", "tag:paragraph", "tag:list", "tag:structure", "tag:bad")
+#: Bounds of the weights: plain words score positive, tags and boilerplate negative.
+LEAST, MOST = {"word": 0.1}, {k: -0.05 for k in KINDS if k.startswith("tag") or k == "word:bad"}
+
+
+def learned(pages=LABELLED, marked=MARKED, rounds: int = 500, step: float = 0.02, margin: float = 0.2) -> dict[str, float]:
+    """Weight of each kind of token from labelled pages, a plain word having 1.
+
+    They start as smoothed log-odds of content and are then trained as the scan uses them: where the best region of a page,
+    with `margin` a word against the labelled one, isn't the labelled region, weights move toward the tokens of that and away
+    from those of the best. 'article': what a word in an article counts against one outside, 1 at least.
+    """
+    sides = {(side, content): 0.5 for side in (True, False) for content in (True, False)}
+    for page in marked:
+        for markup, content in page:
+            for piece in tokens(markup):
+                sides[bool(piece.article), content] += piece.words
+    share = {side: sides[side, True] / (sides[side, True] + sides[side, False]) for side in (True, False)}
+    labelled = [[(piece, content) for markup, content in page for piece in tokens(markup)] for page in pages]
+    size = lambda piece: piece.words if piece.text else 1
+    counts = [Counter(), Counter()]
+    for page in labelled:
+        for piece, content in page:
+            counts[content][piece.kind] += size(piece)
+    outside, inside = counts
+    odds = {k: math.log((inside[k] + 0.5) / sum(inside.values())) - math.log((outside[k] + 0.5) / sum(outside.values())) for k in KINDS}
+    held = lambda k, v: min(max(v, LEAST.get(k, v)), MOST.get(k, max(v, LEAST.get(k, v))))
+    weights = {k: held(k, v) for k, v in odds.items()}
+    for _ in range(rounds):
+        moved = False
+        for page in labelled:
+            against = [weights[piece.kind] * size(piece) + (-margin if content else margin) * piece.words for piece, content in page]
+            first, last = best_region(against)
+            wrong = Counter()
+            for k, (piece, content) in enumerate(page):
+                if content != (first <= k < last):
+                    wrong[piece.kind] += size(piece) if content else -size(piece)
+            if any(content != (first <= k < last) and piece.words for k, (piece, content) in enumerate(page)):
+                moved = True
+                weights = {k: held(k, v + step * wrong[k]) for k, v in weights.items()}
+        if not moved:
+            break
+    return {k: v / weights["word"] for k, v in weights.items()} | {"article": max(1.0, share[True] / share[False])}
+
+
+WEIGHTS = learned()
+
+
 def blocks_of(pieces: list[Piece]) -> list[str]:
     found: list[str] = []
     last, held = None, []
