@@ -9,7 +9,7 @@ from pathlib import Path
 
 from tidewheel.functions.ids import python_id
 
-NAME, DROP_LOG, MANIFEST = "CHECKPOINT", "DROP_LOG.json", "MANIFEST.json"
+NAME, DROP_LOG, MANIFEST, PENDING = "CHECKPOINT", "DROP_LOG.json", "MANIFEST.json", "PENDING.json"
 
 
 def replace_file(path: Path, text: str) -> None:
@@ -68,3 +68,16 @@ def append_drop_log(folder: str | Path, entries: list[dict], size: int = 100) ->
     kept = (load_drop_log(folder) + [{k: v for k, v in e.items() if v is not None} for e in entries])[-size:]
     replace_file(Path(folder) / DROP_LOG, json.dumps(kept, separators=(",", ":")))
     return kept
+
+
+def bytes_freed(entries: list[dict]) -> int:
+    """What the entries of a drop log freed in all."""
+    return sum(int(e.get("bytes_freed") or 0) for e in entries)
+
+
+def read_pending(folder: str | Path) -> dict | None:
+    """The batch that was being stored when the writer stopped, if any."""
+    try:
+        return json.loads((Path(folder) / PENDING).read_text())
+    except FileNotFoundError:
+        return None

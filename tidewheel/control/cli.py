@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         return FAILED
     from pyspark.sql import SparkSession
 
+    from tidewheel.sources.redis_stream import RedisStreamSource
     from tidewheel.streaming.follow import WIRE_SCHEMA, status_lines
 
     spark = spark or SparkSession.builder.appName("tidewheel").getOrCreate()
@@ -68,27 +69,32 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         with WriterLock(config.data_dir):
             job = collector(spark, config)
             if args.command == "backfill":
-                from tidewheel.sources.events import wire_from_json
-
-                if not args.source:
-                    raise ConfigError("backfill needs --source")
-                done = job.backfill(wire_from_json(spark, args.source), args.first, args.last)
+                from tidewheel.sources.events import check_bound, wire_from_json
+
+                first, last = check_bound(args.first), check_bound(args.last)
+                if args.source:
+                    wire = wire_from_json(spark, args.source)
+                else:
+                    spark.dataSource.register(RedisStreamSource)
+                    wire = spark.read.format("redis_stream").options(url=config.redis_url, stream=config.stream, first=first, last=last).load()
+                job.start()
+                done = job.backfill(wire, first, last)
                 print(f"{done.raw_lines} events, {done.session_rows} sessions, checkpoint {done.checkpoint}")
                 return OK
             if args.source:
                 stream = spark.readStream.schema(WIRE_SCHEMA).json(args.source)
             else:
-                from tidewheel.sources.redis_stream import RedisStreamSource
-
                 spark.dataSource.register(RedisStreamSource)
                 stream = spark.readStream.format("redis_stream").option("url", config.redis_url).option("stream", config.stream).load()
 
             def stop(*_):
-                signal.signal(signal.SIGTERM, signal.SIG_DFL)  # a second signal ends the process at once
+                for name in (signal.SIGTERM, signal.SIGINT):  # a second signal ends the process at once
+                    signal.signal(name, signal.SIG_DFL)
                 for query in spark.streams.active:
                     query.stop()
 
-            signal.signal(signal.SIGTERM, stop)
+            for name in (signal.SIGTERM, signal.SIGINT):
+                signal.signal(name, stop)
             job.follow(stream, f"file://{Path(config.data_dir).resolve()}/.offsets", once=args.once, max_idle_ms=args.max_idle_ms, max_reads=args.max_reads)
             return OK
     except Busy as error:

@@ -20,6 +20,8 @@ FIELDS = {
     "expire_hours": ("TIDEWHEEL_EXPIRE_HOURS", "6"),
 }
 FILE_NAME = "tidewheel.toml"
+#: Where the program lies: a relative data_dir is meant from here, never from the folder that it was started in.
+PROGRAM_DIR = Path(__file__).resolve().parents[2]
 
 
 class ConfigError(ValueError):
@@ -51,7 +53,7 @@ def load(cli: Mapping[str, str | None] | None = None, env: Mapping[str, str] | N
     An empty string counts as not given. A relative data_dir of the file is relative to the file, any other to the program.
     """
     cli, env = dict(cli or {}), os.environ if env is None else env
-    base = Path(program_dir or cwd)
+    base = Path(program_dir or PROGRAM_DIR)
     named = cli.get("config") or env.get("TIDEWHEEL_CONFIG")
     if named and not Path(named).is_file():
         raise ConfigError(f"there is no file {named}")
