@@ -123,12 +123,13 @@ def test_pairing_equals_simulation_in_any_split(spark, seed):
     rnd = random.Random(seed)
     events = [(k, rnd.choice((S, F_)), rnd.choice((None, "x", "y")), rnd.choice("ab")) for k in range(1, 60)]
     want = simulate(events)
-    assert sorted(sessions(spark, *(event(*e) for e in events)), key=str) == want
+    for chunk_ms in (1, 7, 86_400_000):
+        assert sorted(sessions(spark, *(event(*e) for e in events), chunk_ms=chunk_ms), key=str) == want
     cut = rnd.randint(5, 50)
     table = None
     for part in (events[:cut], events[cut:]):
         rows = decode(spark.createDataFrame([event(*e) for e in part], WIRE))
-        new = pair_sessions(rows, pool=table)
+        new = pair_sessions(rows, pool=table, chunk_ms=5)
         table = new if table is None else table.where("state not in ('open', 'interrupted')").unionByName(new)
         table = spark.createDataFrame(table.collect(), new.schema)
     assert sorted(((r.start_stream_id, r.finish_stream_id, r.state) for r in table.collect()), key=str) == want

@@ -6,20 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def json_value(text: Column) -> Column:
+    """The one JSON value that a text is, null if it is none; JSON's null is a value.
+
+    Spark's parser alone accepts trailing text, so the text is parsed as the only item of an array, and as the only member of
+    an object to see that it doesn't end the array itself.
+    """
+    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).cast("array<variant>")
+    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))), "$.v", "variant")
+    return F.when((F.size(items) == 1) & wrapped.isNotNull(), wrapped)
+
+
 def is_json(text: Column) -> Column:
-    """Whether a text is one JSON value and nothing after it. Spark's parser alone accepts trailing text."""
-    alone = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    one = F.size(alone.cast("array<variant>")) == 1
-    return F.coalesce(F.try_parse_json(text).isNotNull() & one & F.try_variant_get(wrapped, "$.v", "variant").isNotNull(), F.lit(False))
+    """Whether a text is one JSON value and nothing after it."""
+    return json_value(text).isNotNull()
 
 
 def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_object(text: Column) -> Column:
-    return is_json(text) & F.coalesce(kind(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+def as_object(value: Column) -> Column:
+    """A JSON value if it is an object."""
+    return F.when(kind(value).startswith("OBJECT"), value)
 
 
 def member(value: Column, name: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.payload import is_json, is_object, member, non_empty, text_of
+from tidewheel.functions.payload import as_object, is_json, json_value, member, non_empty, text_of
 
 #: Keys of a payload that may stand at the top level (fixed values); those that may hold JSON.
 PAYLOAD_KEYS = ("session_id", "snippet", "summary", "task_ref", "handoff")
@@ -40,15 +40,14 @@ def decode(wire: DataFrame) -> DataFrame:
     keep = [c for c in wire.columns if c not in ("fields", *RAW_COLUMNS)]
     fields = F.coalesce(F.col("fields"), F.create_map().cast("map<string,string>"))
     rows = wire.withColumn("fields", fields).withColumn("__candidate", F.coalesce(F.col("fields")["json"], F.col("fields")["envelope"]))
-    valid, json_ok = is_object(F.col("__candidate")), is_json(F.col("__candidate"))
-    rows = rows.withColumn("__valid", valid).withColumn("__json", json_ok)
-    rows = rows.withColumn("__env", F.when(F.col("__valid"), F.try_parse_json("__candidate")))
+    rows = rows.withColumn("__value", json_value(F.col("__candidate"))).withColumn("__flat", json_value(F.col("fields")["payload"]))
+    rows = rows.withColumn("__env", as_object(F.col("__value")))
     columns = {name: F.coalesce(non_empty(text_of(member(F.col("__env"), key))), non_empty(F.col("fields")[key])) for name, key in ENVELOPE.items()}
-    flat = F.col("fields")["payload"]
-    own = F.when(is_object(flat), F.try_parse_json(flat)).otherwise(F.try_parse_json(_known_payload(F.col("fields"))))
-    payload = F.when(F.col("__valid"), F.coalesce(member(F.col("__env"), "payload"), F.parse_json(F.lit("{}")))).otherwise(own)
-    bad = F.col("__candidate").isNotNull() & ~F.col("__valid")
-    error = F.when(bad & F.col("__json"), "json/envelope is not a JSON object").when(bad, "json/envelope is invalid JSON")
+    own = F.coalesce(as_object(F.col("__flat")), F.try_parse_json(_known_payload(F.col("fields"))))
+    valid = F.col("__env").isNotNull()
+    payload = F.when(valid, F.coalesce(member(F.col("__env"), "payload"), F.parse_json(F.lit("{}")))).otherwise(own)
+    bad = F.col("__candidate").isNotNull() & ~valid
+    error = F.when(bad & F.col("__value").isNotNull(), "json/envelope is not a JSON object").when(bad, "json/envelope is invalid JSON")
     ordered = F.map_from_entries(F.array_sort(F.map_entries("fields")))
     return rows.select(*keep, "stream_id", *(c.alias(n) for n, c in columns.items()), payload.alias("payload"), ordered.alias("fields"), (~bad).alias("decode_ok"), error.alias("decode_error"))
 

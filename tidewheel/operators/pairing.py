@@ -3,7 +3,10 @@
 The queue has a closed form over window functions. In id order, with +1 for a start and -1 for a finish, the running sum S of
 a key falls below all earlier values (and 0) exactly at finishes that find the queue empty. The r-th start and the r-th of the
 other finishes belong together. A start without one is interrupted if its team and actor start again later, else expired or
-open by its age. All windows are over subsets of one partitioning by team and actor, so there is a single exchange.
+open by its age.
+
+Running sums, minima and ranks are taken within chunks of time of a key and over the totals of chunks (a row for each), so no
+task has more of a busy actor than one chunk. Edges are written down once, as three steps read them.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from tidewheel.functions.ids import parse_id
 from tidewheel.functions.names import session_pk, team_safe
 from tidewheel.functions.payload import payload_handoff, payload_refs, payload_session_id, payload_snippet, union_refs
 from tidewheel.functions.times import date_of, millis_between, resolve, rfc3339, to_rfc3339
+from tidewheel.session import shared_folder, written
 
 STARTED, FINISHED = "task.started", "task.finished"
 STATES = ("completed", "open", "interrupted", "orphan_finish", "expired")
@@ -24,6 +28,8 @@ SESSION_SCHEMA = (
     "state string, snippet_in string, snippet_out string, issues array<string>, prs array<string>, linear array<string>, handoff string, project string"
 )
 SESSION_COLUMNS = [part.split(" ")[0] for part in SESSION_SCHEMA.split(", ")]
+#: Milliseconds of the chunks that a key's edges are cut into: a day.
+CHUNK_MS = 86_400_000
 _REFS = ("issues", "prs", "linear")
 _EDGE = ["team", "actor", "sid", "session_id", "id", "step", "stream_id", "at", "snippet", *_REFS, "handoff", "project", "was"]
 
@@ -57,25 +63,39 @@ def pool_edges(sessions: DataFrame) -> DataFrame:
     )
 
 
-def pair_edges(rows: DataFrame, now: Column | None = None, expire_hours: float = 6.0) -> DataFrame:
-    """Sessions of edges. now: expires starts that are older than the window then; without it none expire."""
+def pair_edges(rows: DataFrame, now: Column | None = None, expire_hours: float = 6.0, chunk_ms: int = CHUNK_MS, folder: str | None = None) -> DataFrame:
+    """Sessions of edges. now: expires starts that are older than the window then; without it none expire.
+
+    chunk_ms: milliseconds of a chunk; any number gives the same sessions. folder: where the edges are written.
+    """
+    spark = rows.sparkSession
     key = ["team", "actor", "sid"]
-    by_id = W.partitionBy(*key).orderBy("id")
-    rows = rows.select(*_EDGE).repartition("team", "actor")
-    rows = rows.withColumn("depth", F.sum("step").over(by_id.rowsBetween(W.unboundedPreceding, 0)))
-    rows = rows.withColumn("low", F.min("depth").over(by_id.rowsBetween(W.unboundedPreceding, -1)))
-    rows = rows.withColumn("orphan", (F.col("step") == -1) & (F.col("depth") < F.least(F.coalesce("low", F.lit(0)), F.lit(0))))
-    rows = rows.withColumn("rank", F.row_number().over(W.partitionBy(*key, "step", "orphan").orderBy("id")))
-    rows = rows.withColumn("last_start", F.max(F.when(F.col("step") == 1, F.col("id"))).over(W.partitionBy("team", "actor")))
+    part = [*key, "chunk"]
+    chunked = rows.select(*_EDGE).withColumn("chunk", F.floor(F.col("id.ms") / F.lit(chunk_ms)))
+    rows = written(chunked, folder or shared_folder(spark, "edges")).repartition(*part)
+    by_id, before = W.partitionBy(*part).orderBy("id"), W.partitionBy(*key).orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("__depth", F.sum("step").over(by_id.rowsBetween(W.unboundedPreceding, 0)))
+    sums = rows.groupBy(*part).agg(F.sum("step").alias("__total"), F.min("__depth").alias("__lowest"))
+    sums = sums.withColumn("__base", F.coalesce(F.sum("__total").over(before), F.lit(0)))
+    sums = sums.withColumn("__floor", F.min(F.col("__base") + F.col("__lowest")).over(before)).drop("__total", "__lowest")
+    rows = rows.withColumn("__low", F.min("__depth").over(by_id.rowsBetween(W.unboundedPreceding, -1))).join(sums, part)
+    lowest = F.least(F.col("__base") + F.col("__low"), F.col("__floor"), F.lit(0))
+    rows = rows.withColumn("orphan", (F.col("step") == -1) & (F.col("__base") + F.col("__depth") < lowest))
+    side = [*part, "step", "orphan"]
+    counts = rows.groupBy(*side).agg(F.count("*").alias("__n"))
+    taken = counts.withColumn("__taken", F.coalesce(F.sum("__n").over(W.partitionBy(*key, "step", "orphan").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    rows = rows.withColumn("rank", F.row_number().over(W.partitionBy(*side).orderBy("id"))).join(taken, side).withColumn("rank", F.col("rank") + F.col("__taken"))
     start, finish = F.col("step") == 1, F.col("step") == -1
+    last = rows.where(start).groupBy("team", "actor").agg(F.max("id").alias("last_start"))
     at = lambda which, name: F.max(F.when(which, F.struct(F.col("id"), F.col(name).alias("v"))))["v"]
     met = rows.groupBy(*key, "rank", "orphan").agg(
         at(start, "stream_id").alias("start_stream_id"), at(finish, "stream_id").alias("finish_stream_id"), at(start, "at").alias("start_at"), at(finish, "at").alias("finish_at"),
         at(start, "session_id").alias("start_sid"), at(finish, "session_id").alias("finish_sid"), at(start, "snippet").alias("snippet_in"), at(finish, "snippet").alias("snippet_out"),
         *(at(start, r).alias(f"start_{r}") for r in _REFS), *(at(finish, r).alias(f"finish_{r}") for r in _REFS),
         at(finish, "handoff").alias("handoff"), at(start, "project").alias("start_project"), at(finish, "project").alias("finish_project"), at(start, "was").alias("was"),
-        (F.max(F.when(start, F.col("id"))) < F.max("last_start")).alias("again"),
+        F.max(F.when(start, F.col("id"))).alias("started"),
     )
+    met = met.join(last, ["team", "actor"], "left").withColumn("again", F.coalesce(F.col("started") < F.col("last_start"), F.lit(False)))
     c = F.col
     old = F.lit(False) if now is None else F.coalesce(F.unix_micros(now) - F.unix_micros(c("start_at")) > F.lit(int(expire_hours * 3_600_000_000)), F.lit(False))
     state = (
@@ -104,10 +124,10 @@ def pair_edges(rows: DataFrame, now: Column | None = None, expire_hours: float =
     )
 
 
-def pair_sessions(events: DataFrame, pool: DataFrame | None = None, now: Column | None = None, expire_hours: float = 6.0) -> DataFrame:
+def pair_sessions(events: DataFrame, pool: DataFrame | None = None, now: Column | None = None, expire_hours: float = 6.0, chunk_ms: int = CHUNK_MS, folder: str | None = None) -> DataFrame:
     """Sessions of decoded events and of the pool of earlier runs."""
     rows = edges(events)
-    return pair_edges(rows if pool is None else rows.unionByName(pool_edges(pool)), now, expire_hours)
+    return pair_edges(rows if pool is None else rows.unionByName(pool_edges(pool)), now, expire_hours, chunk_ms, folder)
 
 
 def age(sessions: DataFrame, now: Column, expire_hours: float = 6.0) -> DataFrame:

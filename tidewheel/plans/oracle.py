@@ -89,9 +89,9 @@ def oracle_sql() -> dict[str, str]:
         "cap_evict_dates": f"""WITH {_LINES}, b AS (SELECT dt, sum(strlen(line) + 1) AS bytes FROM lines GROUP BY dt)
             SELECT dt, CAST(bytes AS BIGINT) AS bytes, sum(bytes) OVER () - coalesce(sum(bytes) OVER (ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 80 * (SELECT count(*) FROM events) AND dt < max(dt) OVER () AS evicted FROM b""",
         "cap_trim_events": f"""WITH {_paired()},
-            one AS (SELECT *, '{{"stream_id":"' || stream_id || '","action":"' || action || '","ts":"' || ts_text || '","team":"' || team || '"}}' AS line FROM w WHERE dt = '2024-01-30'),
+            one AS (SELECT *, '{{"stream_id":"' || stream_id || '","action":"' || action || '","ts":"' || ts_text || '","team":"' || team || '"}}' AS line FROM w WHERE dt = (SELECT max(dt) FROM w)),
             raw AS (SELECT 'office' AS view, * FROM one UNION ALL SELECT team, * FROM one),
-            own AS (SELECT *, '{{"session_pk":"' || session_pk || '","state":"' || state || '","start":"' || coalesce(start_stream_id, '') || '","finish":"' || coalesce(finish_stream_id, '') || '"}}' AS line FROM p WHERE strftime(moment, '%Y-%m-%d') = '2024-01-30'),
+            own AS (SELECT *, '{{"session_pk":"' || session_pk || '","state":"' || state || '","start":"' || coalesce(start_stream_id, '') || '","finish":"' || coalesce(finish_stream_id, '') || '"}}' AS line FROM p WHERE strftime(moment, '%Y-%m-%d') = (SELECT max(dt) FROM w)),
             edge AS (SELECT team, session_pk, strlen(line) + 1 AS b, unnest([start_stream_id, finish_stream_id]) AS stream_id FROM own WHERE state IN ('completed', 'orphan_finish')),
             firsts AS (SELECT g.team, g.session_pk, any_value(b) AS b, min_by(g.stream_id, o.event_id) AS stream_id, min(o.event_id) AS event_id FROM edge g JOIN one o USING (stream_id) GROUP BY ALL),
             gone AS (SELECT 'r:' || view AS view, stream_id, event_id, strlen(line) + 1 AS b, 1 AS n FROM raw UNION ALL SELECT 's:' || team, stream_id, event_id, sum(b), count(*) FROM firsts GROUP BY ALL),

@@ -177,8 +177,9 @@ def _cap(spark: SparkSession, sf_dir: str) -> int:
 
 def last_date(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw and session lines of the newest date."""
-    raw = lines(spark, sf_dir).where("dt = '2024-01-30'")
-    own = with_location(sessions(spark, sf_dir)).where("dt = '2024-01-30'")
+    raw, own = lines(spark, sf_dir), with_location(sessions(spark, sf_dir))
+    newest = raw.agg(F.max("dt")).first()[0]
+    raw, own = raw.where(F.col("dt") == newest), own.where(F.col("dt") == newest)
     none = F.lit("")
     line = F.concat(F.lit('{"session_pk":"'), "session_pk", F.lit('","state":"'), "state", F.lit('","start":"'), F.coalesce("start_stream_id", none), F.lit('","finish":"'), F.coalesce("finish_stream_id", none), F.lit('"}'))
     return raw, own.select("team", "session_pk", "state", "start_stream_id", "finish_stream_id", line.alias("line"))

@@ -26,7 +26,7 @@ from tidewheel.operators.decode import decode, raw_line
 from tidewheel.operators.manifest import discovered_teams, state_counts
 from tidewheel.operators.pairing import STATES, age, pair_sessions
 from tidewheel.operators.retention import dates_to_evict, events_to_trim, kept_raw, kept_sessions, line_bytes
-from tidewheel.session import configure
+from tidewheel.session import configure, shared_folder
 from tidewheel.sources.events import after, max_id, range_scan
 from tidewheel.sources.store import PRIVATE, Store
 
@@ -166,8 +166,8 @@ class Collector:
                 for r in rows.where("not decode_ok").select("stream_id", "decode_error").limit(20).collect():
                     log.warning("event %s: %s", r.stream_id, r.decode_error)
                 pool = self.store.sessions([tuple(p) for p in known.open]).where(F.col("state").isin(*totals.WAITING))
-                paired = pair_sessions(rows, pool=pool, now=self._now(), expire_hours=self.expire_hours)
                 name = f".batch-{uuid.uuid4().hex}"
+                paired = pair_sessions(rows, pool=pool, now=self._now(), expire_hours=self.expire_hours, folder=self.store.path(f"{name}/edges"))
                 paired.write.options(**PRIVATE).parquet(self.store.path(f"{name}/sessions"))
                 rows.select("stream_id", raw_line().alias("value"), "team_safe", "dt", F.trim("team").alias("team")).write.options(**PRIVATE).parquet(self.store.path(f"{name}/events"))
             finally:
@@ -335,17 +335,6 @@ def status_lines(manifest: dict) -> list[str]:
     return [f"{k}: {plain(v)}" for k, v in manifest.items()]
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir; where that is unset, a temporary one in local mode and an error on a cluster."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
-        named = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
-    return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def follow_events(spark: SparkSession, sf_dir: str, files: int = 3) -> DataFrame:
     """Events as a stream of files, followed in micro-batches; the session table that comes out. Nothing expires."""
     from tidewheel.plans.queries import wire
