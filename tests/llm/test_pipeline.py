@@ -29,3 +29,47 @@ def test_run(spark):
     got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == want
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, set string, component_id long, keep_id long, n long"
+SAME = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+NEAR = SAME + " more"
+
+
+def rows_of(spark, *rows):
+    return spark.createDataFrame([(i, t, "en", "s", 1, "clash", -1, -2, -3) for i, t in rows], SCHEMA)
+
+
+def left(df):
+    assert df.columns == [part.split(" ")[0] for part in SCHEMA.split(", ")]
+    assert all((r["set"], r.component_id, r.keep_id, r.n) == ("clash", -1, -2, -3) for r in df.collect())
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_stages_take_an_empty_table(spark):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, rows_of(spark), SF).count() == 0, name
+
+
+def test_stages_on_nulls_ties_and_repeats(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    odd = [(1, None), (2, ""), (3, " \t\n"), (None, "alone"), (4, "x" * 50_000)]
+    passed = left(stages["toxicity"](spark, rows_of(spark, *odd, (4, "x" * 50_000)), SF))
+    assert passed == sorted([*odd, (4, "x" * 50_000)], key=str)
+    copies = [*odd, (9, "Same"), (5, "sAME"), (9, "same"), (None, "SAME"), (5, "other"), (None, "alone"), (None, "ALONE")]
+    kept = left(stages["exact dedup"](spark, rows_of(spark, *copies), SF))
+    assert [(i, (t or "").lower()) for i, t in kept] == [(i, (t or "").lower()) for i, t in sorted([(2, ""), (3, " \t\n"), (4, "x" * 50_000), (5, "other"), (9, "same"), (None, "alone")], key=str)]
+    near = [*odd, (7, SAME), (6, NEAR), (8, NEAR), (8, "quite another text"), (10, SAME), (None, SAME)]
+    kept = left(stages["n-gram Jaccard join"](spark, rows_of(spark, *near), SF))
+    assert kept == sorted([*odd, (6, NEAR), (8, NEAR), (8, "quite another text"), (None, SAME)], key=str)
+    item = duckdb.connect().execute(f"select text from '{SF}/benchmark.parquet' order by length(text) desc").fetchone()[0]
+    leaks = [*odd, (7, item), (8, "clean words only here"), (8, f"so {item}"), (None, item)]
+    assert left(stages["benchmark decontamination"](spark, rows_of(spark, *leaks), SF)) == sorted([*odd, (None, item)], key=str)
+    done = stages["BPE encoding and decoding"](spark, rows_of(spark, *odd, (4, "y")), SF)
+    assert sorted(((r.doc_id, r.n_tokens > 0) for r in done.collect()), key=str) == sorted([(1, False), (2, False), (3, True), (None, True), (4, True), (4, True)], key=str)
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    docs = table(spark, SF, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns, name

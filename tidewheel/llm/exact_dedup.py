@@ -121,11 +121,21 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest", fan_in: int = 8, id
 
 
 def keep_one(docs: DataFrame, keep: str = "largest", fan_in: int = 8, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay; all columns. A doc_id that repeats stays if one of its texts does, and once for each text."""
+    """The rows of docs that stay, one for each text; all columns.
+
+    Of equal texts the row with the largest (or smallest) doc_id stays, one of them if several have it, and one without doc_id
+    only if none has any. Rows that repeat a doc_id with other texts are judged each by its own text.
+    """
     scratch = Scratch(docs.sparkSession, "keep-one")
-    verdict = scratch.keep(exact_duplicates(docs, keep, fan_in, id_col, text).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdict")
-    stay = without(docs, verdict.where("not kept").select("doc_id"), scratch, "losers", id_col)
-    return stay if verdict.where("n > 1").isEmpty() else stay.dropDuplicates([id_col, text])
+    rows = scratch.keep(exact_duplicates(docs, keep, fan_in, id_col, text).select("doc_id", "keep_id", "kept", "text_sha256"), "rows")
+    verdict = scratch.keep(rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdict")
+    if verdict.where("n > 1 or doc_id is null").isEmpty():  # the id names the row, so texts stay where they are
+        return without(docs, verdict.where("not kept").select("doc_id"), scratch, "losers", id_col)
+    best = rows.where("kept").select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep")).distinct()
+    upper, lower = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+    named = docs.withColumn("__text", F.sha2(F.translate(F.coalesce(F.col(text), F.lit("")), upper, lower), 256))
+    met = named.join(best, (F.col("__text") == F.col("__digest")) & F.col(id_col).eqNullSafe(F.col("__keep")))
+    return met.dropDuplicates(["__text"]).select(docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
