@@ -2,11 +2,15 @@
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and works on all that the stage before it kept. run()
 writes each stage's rows as Parquet and rereads them, so a lost executor costs one stage at most.
+
+All stages take null and empty texts (as empty), an empty table, and more columns of any name, which stay as they are until the
+last stage. What they do with rows that repeat or have no doc_id is said with each.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewheel.llm.bpe import encode_documents
 from tidewheel.llm.common import Scratch, table, without
@@ -17,29 +21,33 @@ from tidewheel.llm.toxicity import keep_clean
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier passes."""
+    """Documents that the toxicity classifier passes; each row is judged by its text. Without labels all pass."""
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest doc_id."""
+    """Of documents with equal texts, the one with the largest doc_id; one row where several have it, one without doc_id if none has any."""
     return keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents, the one with the smallest doc_id."""
-    others = ngram_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    """Of each component of similar documents, the one with the smallest doc_id.
+
+    Rows without doc_id stay. A doc_id that repeats with other texts goes only if all of them are copies. Texts without words stay.
+    """
+    own = ngram_components(docs).groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    others = own.where("not stays").select("doc_id")
     return without(docs, others, Scratch(spark, "near-copies"), "others")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Rows without doc_id stay; rows that repeat a doc_id go if any of them holds one."""
     leaks = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
     return without(docs, leaks, Scratch(spark, "leaks"), "found")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """Token ids of each document, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256; one row for each row, null ids stay null."""
     return encode_documents(docs)
 
 
