@@ -48,11 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables that cut lineage: written once to the shared folder, so a lost executor costs no recomputation of what came before."""
+    """Tables that cut lineage: written once to the shared folder, so a lost executor costs no recomputation of what came before.
+
+    They are removed when no later step reads them, and those that a result still reads when the driver's process ends.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = bounded(spark)
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

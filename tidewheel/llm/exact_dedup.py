@@ -26,13 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, table, utf8, without
+from tidewheel.llm.common import Scratch, lean_worker, table, utf8, without
 
 LEAF = "doc_id long, digest binary, n_bytes long, proof long"
 RUN = "run long, digest binary, keep_id long, copies long, n_bytes long, proof long"
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lean_worker()
     for batch in batches:
         digest, size, proof = [], [], []
         for raw in batch.column(1):
@@ -62,6 +63,7 @@ def _fold(keep: str):
         return pa.RecordBatch.from_arrays([pa.array(run), digests, pa.array(ids, pa.int64(), mask=~some), pa.array(copies), pa.array(size), pa.array(proof)], names=["run", "digest", "keep_id", "copies", "n_bytes", "proof"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         held = None
         none = -(1 << 63) if keep == "largest" else (1 << 63) - 1
         for batch in batches:
