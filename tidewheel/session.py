@@ -19,14 +19,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir; where that is unset, a temporary one in local mode and an error on a cluster."""
+    """A new folder that all executors see: under spark.checkpoint.dir; where that is unset, a temporary one in local mode and an error on a cluster.
+
+    It is removed when the driver's process ends.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         named = "file://" + tempfile.mkdtemp(prefix="tidewheel-")
-    return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def written(df: DataFrame, folder: str) -> DataFrame:
