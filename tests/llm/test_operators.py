@@ -472,3 +472,110 @@ def test_warc(spark, tmp_path):
     large = warc.archive_pages(df, min_bytes=10_000).where("record_type = 'revisit'")
     assert large.count() == 0
     assert warc.archive_pages(df.limit(0)).count() == 0
+
+
+CLASH = "doc_id long, text string, source string, lang string, set string, n long, keep_id long, component_id long, score double, held_out string, evidence string, fresh string, host string, path string"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, "h", "en", "c", 1, -1, -1, 0.5, "c", "c", "c", "c", "c") for i, t in rows], CLASH)
+
+
+ODD = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "quite another one of these texts here"), (None, "A B C D E F G"), (2, "a b c d e f g"), (3, None), (None, None), (3, "")]
+
+
+def test_join_on_missing_and_repeated_ids(spark):
+    got = sorted(tuple(r)[:3] for r in jaccard_join.ngram_components(clashing(spark, ODD)).collect())
+    assert got == [(1, 3, 1), (1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3), (3, 0, 3)]
+
+
+def test_dedup_on_missing_and_repeated_ids(spark):
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(clashing(spark, ODD)).collect()), key=str)
+    assert got == sorted([(1, 2, 4, False)] * 2 + [(1, 1, 1, True), (None, 2, 4, False), (2, 2, 4, True), (3, 3, 3, True), (None, 3, 3, False), (3, 3, 3, True)], key=str)
+    kept = exact_dedup.keep_one(clashing(spark, ODD))
+    assert sorted((r.doc_id, lower(r.text)) for r in kept.collect()) == [(1, "quite another one of these texts here"), (2, "a b c d e f g"), (3, "")] and kept.columns == clashing(spark, ODD).columns
+
+
+def test_other_operators_on_missing_and_repeated_ids(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    assert sorted((str(r.doc_id), r.predicted) for r in toxicity.score_toxicity(clashing(spark, ODD), labels).collect()) == sorted((str(i), 0) for i, _ in ODD)
+    scored = quality.score_quality(clashing(spark, ODD), labels).collect()
+    assert sorted(str(r.doc_id) for r in scored) == sorted(str(i) for i, _ in ODD) and all(0 <= r.score <= 1 for r in scored)
+    assert len({r.score for r in scored if r.doc_id == 1}) <= 2
+    assert sorted(str(r.text) for r in pii.replace_pii(clashing(spark, ODD), "k").collect()) == sorted(str(t) for _, t in ODD)
+    item = "the quick brown fox jumps over a lazy dog today"
+    bench = spark.createDataFrame([(5, item), (4, item), (4, item), (None, item)], "item_id long, text string")
+    got = decontaminate.contamination(clashing(spark, [*ODD, (7, item), (7, "clean"), (None, item)]), bench).collect()
+    assert sorted((str(r.doc_id), r.contaminated, r.item_id, r.n_items) for r in got) == sorted([(str(i), False, None, 0) for i, _ in ODD] + [("7", True, 4, 2)] * 2 + [("None", False, None, 0)])
+    assert {tuple(r) for r in token_counts.maintain(clashing(spark, ODD)).where("tokenizer = '%s'" % token_counts.LETTERS).collect()} == {("h", "en", token_counts.LETTERS, 6, 21)}
+
+
+def test_other_operators_on_an_empty_table(spark):
+    none, labels = clashing(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert pii.replace_pii(none, "k").count() == toxicity.score_toxicity(none, labels).count() == toxicity.keep_clean(none, labels).count() == quality.score_quality(none, labels).count() == 0
+    assert token_counts.maintain(none).count() == 0 and exact_dedup.keep_one(none).count() == 0
+
+
+def test_warc_on_repeated_ids(spark):
+    rows = [(1, "u", "same", "c", 7), (1, "v", "same", "c", 7), (2, "u", "same", "c", 7), (1, "u", "other", "c", 7), (None, "u", "same", "c", 7)]
+    got = warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string, record_type string, refers_to int")).collect()
+    assert sorted(str((r.page_id, r.payload_bytes, r.record_type, r.refers_to)) for r in got) == sorted(map(str, [(1, 4, "revisit", 2), (1, 4, "revisit", 2), (2, 4, "response", None), (1, 5, "response", None), (None, 4, "response", None)]))
+
+
+def test_pii_is_distinct_and_coreferent(spark):
+    """Against the text itself: one entity has one surrogate everywhere, two entities never the same one."""
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"Na{a}{b}{c}" for a in letters for b in letters for c in "abc"][:2000]
+    lan = [f"192.168.{a}.{b}" for a in range(1, 10) for b in range(1, 10)]
+    mails = [f"user{k}@site{k % 7}.org" for k in range(150)]
+    entities = [f"Frau {n} Zorg" for n in names] + lan + mails
+    words = rnd.sample(entities, len(entities)) + rnd.choices(entities, k=1500)
+    rows = [(k, " und ".join(words[k * 40 : k * 40 + 40])) for k in range(-(-len(words) // 40))]
+    got = {r.doc_id: r.text for r in pii.replace_pii(frame(spark, rows), "k").collect()}
+    mapped = collections.defaultdict(set)
+    for k, text in rows:
+        for old, new in zip(text.split(" und "), got[k].split(" und "), strict=True):
+            mapped[old].add(new)
+    assert all(len(v) == 1 for v in mapped.values())
+    fresh = [next(iter(v)) for v in mapped.values()]
+    assert len(set(fresh)) == len(fresh) and not set(fresh) & set(entities)
+    assert len({f.split()[2] for f in fresh if f.startswith("Frau")}) == 1
+    again = {r.doc_id: r.text for r in pii.replace_pii(frame(spark, rows[:3]), "other").collect()}
+    assert all(again[k] != got[k] for k in again)
+
+
+def test_pii_key_is_an_hmac(spark):
+    import hmac
+
+    for key in ("k", "long " * 40):
+        want = "".join(hmac.new(key.encode(), f"a\x1fé\x1f{k}".encode(), "sha256").hexdigest() for k in (1, 2))
+        assert spark.range(1).select(pii.digest(key, F.lit("a"), F.lit("é"))).first()[0] == want
+
+
+def test_quality_equals_brute_force(spark):
+    rnd = random.Random(12)
+    rows = [(k, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 50))) + ("!" * rnd.randint(0, 9)), f"h{rnd.randint(0, 4)}", f"p{rnd.randint(0, 2)}") for k in range(300)]
+    labels = spark.createDataFrame([(k, rnd.randint(0, 1)) for k in range(200)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.score_quality(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), labels).collect()}
+    by_path, by_host = collections.defaultdict(list), collections.defaultdict(list)
+    for k, _, h, p in rows:
+        by_path[h, p].append(got[k].evidence)
+        by_host[h].append(got[k].evidence)
+    every = [r.evidence for r in got.values()]
+    mean = sum(every) / len(every)
+    spread = lambda groups: sum((x - sum(g) / len(g)) ** 2 for g in groups for x in g)
+    n, hosts, paths = len(every), list(by_host.values()), list(by_path.values())
+    within_h, within_p = spread(hosts) / (n - len(hosts)), spread(paths) / (n - len(paths))
+    between_h = sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in hosts)
+    between_p = sum(len(g) * (sum(g) / len(g) - sum(by_host[h]) / len(by_host[h])) ** 2 for (h, _), g in by_path.items())
+    factor_h = n - sum(len(g) ** 2 for g in hosts) / n
+    factor_p = n - sum(len(g) ** 2 / len(by_host[h]) for (h, _), g in by_path.items())
+    var_h, var_p = (between_h - (len(hosts) - 1) * within_h) / factor_h, (between_p - (len(paths) - len(hosts)) * within_p) / factor_p
+    k_h, k_p = (min(1e4, max(1.0, w / v)) if v > 0 else 1e4 for w, v in ((within_h, var_h), (within_p, var_p)))
+    logit = lambda x: np.log(x / (1 - x))
+    for k, _, h, p in rows:
+        host = (sum(by_host[h]) + k_h * mean) / (len(by_host[h]) + k_h)
+        others = (sum(by_path[h, p]) - got[k].evidence + k_p * host) / (len(by_path[h, p]) - 1 + k_p)
+        score = 1 / (1 + np.exp(-(logit(got[k].evidence) + logit(others) - logit(mean))))
+        assert (got[k].host_posterior, got[k].path_posterior, got[k].score) == pytest.approx((host, others, score), rel=1e-6)

@@ -9,6 +9,7 @@ anew. Totals are read by summing the batches, or the newest snapshot and the bat
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -99,7 +100,10 @@ CACHES["counts"] = _encodings.clear
 
 
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, source, lang, n_bpe, n_words, n_letters) of every whole text; null counts as empty. One pass, no shuffle."""
+    """(doc_id, source, lang, text_sha256, n_bpe, n_words, n_letters) of every whole text; null counts as empty. One pass, no shuffle.
+
+    text_sha256: of the text with A-Z lower-cased, as in exact dedup.
+    """
     import public_tokenizers
 
     spark = docs.sparkSession
@@ -116,17 +120,18 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
             _encodings[path] = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
         encoding, letters = _encodings[path], regex.compile(r"\p{L}+")
         for batch in batches:
-            bpe, words, runs = [], [], []
+            bpe, words, runs, digests = [], [], [], []
             for raw in batch.column(3):
                 data = raw.as_buffer().to_pybytes()
                 text = data.decode("utf-8", "replace")
                 bpe.append(len(encoding.encode_ordinary(text)))
                 words.append(len(data.split()))
                 runs.append(sum(1 for _ in letters.finditer(text)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(bpe, pa.int64()), pa.array(words, pa.int64()), pa.array(runs, pa.int64())], names=["doc_id", "source", "lang", "n_bpe", "n_words", "n_letters"])
+                digests.append(hashlib.sha256(data.lower()).hexdigest())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(digests, pa.string()), pa.array(bpe, pa.int64()), pa.array(words, pa.int64()), pa.array(runs, pa.int64())], names=["doc_id", "source", "lang", "text_sha256", "n_bpe", "n_words", "n_letters"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), utf8("text"))
-    return own.mapInArrow(run, "doc_id long, source string, lang string, n_bpe long, n_words long, n_letters long")
+    return own.mapInArrow(run, "doc_id long, source string, lang string, text_sha256 string, n_bpe long, n_words long, n_letters long")
 
 
 def maintain(docs: DataFrame, folder: str | None = None) -> DataFrame:
@@ -141,9 +146,9 @@ def maintain(docs: DataFrame, folder: str | None = None) -> DataFrame:
     scratch = Scratch(spark, "token-counts")
     rollup = TokenRollup(spark, folder or scratch.path("rollup"))
     counts = scratch.keep(count_tokens(docs), "counts")
-    gone = scratch.keep(exact_duplicates(docs).where("not kept").select("doc_id").distinct(), "gone")
-    dropped = scratch.keep(counts.join(gone, "doc_id", "left_semi"), "dropped")
-    stays = counts.join(gone, "doc_id", "left_anti")
+    gone = scratch.keep(exact_duplicates(docs).where("not kept").select("doc_id", "text_sha256").distinct(), "gone")
+    dropped = scratch.keep(counts.join(gone, ["doc_id", "text_sha256"], "left_semi"), "dropped")
+    stays = counts.join(gone, ["doc_id", "text_sha256"], "left_anti")
     rollup.commit("load", signed(counts, BPE, "n_bpe", 1).union(signed(counts, WORDS, "n_words", 1)))
     rollup.snapshot()
     for batch, deltas in (

@@ -116,22 +116,22 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             payload = raw.as_buffer()
             keys.append(hashlib.sha1(payload).digest() + xxhash.xxh3_128_digest(payload))
             sizes.append(payload.size)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], names=["page_id", "key", "n"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())], names=["page_id", "mark", "key", "n"])
 
 
 def revisits(pages: DataFrame, scratch: Scratch, min_bytes: int) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload a page with a larger id has too.
+    """(revisit_id, mark, refers_to) of the pages whose payload a page with a larger id has too; mark: a hash of the payload, as ids may repeat.
 
     Copies are counted within each scan partition first; a payload that a third of all pages have gives a row for each
     partition from there on.
     """
-    own = pages.select("page_id", "html").mapInArrow(_digests, "page_id long, key binary, n long")
+    own = pages.select("page_id", "html", F.xxhash64("html").alias("mark")).mapInArrow(_digests, "page_id long, mark long, key binary, n long")
     leaves = scratch.keep(own.where(f"n >= {int(min_bytes)} and page_id is not null").withColumn("run", F.spark_partition_id()), "digests")
     runs = scratch.keep(leaves.groupBy("run", "key").agg(F.max("page_id").alias("most"), F.min("page_id").alias("least")), "runs")
     best = runs.groupBy("key").agg(F.max("most").alias("best"), F.min("least").alias("least")).where("best > least").select(F.col("key").alias("of"), "best")
     classes = scratch.keep(runs.join(best, F.col("key") == F.col("of")).select(F.col("run").alias("of_run"), "of", "best"), "classes")
     found = leaves.join(classes, (leaves.run == classes.of_run) & (leaves.key == classes.of)).where("page_id < best")
-    found = scratch.keep(found.select(F.col("page_id").alias("revisit_id"), F.col("best").alias("refers_to")).distinct(), "revisits")
+    found = scratch.keep(found.select(F.col("page_id").alias("revisit_id"), "mark", F.col("best").alias("refers_to")).distinct(), "revisits")
     scratch.drop("digests", "runs", "classes")
     return found
 
@@ -151,9 +151,9 @@ def write_archives(
     chosen = own.where((F.octet_length("html") <= sample_bytes) & F.col("page_id").isNotNull()).select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
     rows = own.where(F.octet_length("html") <= sample_bytes).join(F.broadcast(chosen), "page_id").limit(sample).collect()
     dictionary = spark.sparkContext.broadcast(build_dictionary([record_bytes(r.page_id, r.url, bytes(r.html), None) for r in rows], dictionary_size))
-    if again.count() <= few:  # 16 bytes each
+    if again.count() <= few:  # 24 bytes each
         again = F.broadcast(again)
-    named = own.join(again, own.page_id == again.revisit_id, "left").select("page_id", "url", "html", "refers_to")
+    named = own.join(again, (own.page_id == again.revisit_id) & (F.xxhash64("html") == again.mark), "left").select("page_id", "url", "html", "refers_to")
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
