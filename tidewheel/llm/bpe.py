@@ -24,7 +24,7 @@ from tidewheel.llm.common import CACHES, bounded, lean_worker, table, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Longer pieces are encoded anew each time; the cache holds as many pieces at most.
-CACHED_CHARS, CACHED_PIECES = 48, 100_000
+CACHED_CHARS, CACHED_PIECES = 48, 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -58,14 +58,14 @@ def load_rules(path: str) -> dict:
 class Pieces(dict):
     """Piece of text to its ids, packed as little-endian 32-bit numbers; bounded."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, piece: str) -> bytes:
         packed = np.array(self.encode(piece.encode()), "<u4").tobytes()
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED_PIECES:
+            if len(self) >= self.most:
                 self.clear()
             self[piece] = packed
         return packed
@@ -81,7 +81,7 @@ class BytePairCodec:
     #: The public byte-level split pattern (fixed value).
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, rules: dict):
+    def __init__(self, rules: dict, cached: int = CACHED_PIECES):
         import ahocorasick
         import regex
 
@@ -114,7 +114,7 @@ class BytePairCodec:
         self.automaton.make_automaton()
         self.fits: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.pieces = Pieces(self.encode_piece)
+        self.pieces, self.cached = Pieces(self.encode_piece, cached), cached
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens that stand at a token's right (side 1) or left (side 0) end while it is being built, each with the rank of the merge that uses it up."""
@@ -148,7 +148,7 @@ class BytePairCodec:
                         break
                 if not known:
                     break
-            if len(self.fits) >= CACHED_PIECES:
+            if len(self.fits) >= self.cached:
                 self.fits.clear()
             self.fits[key] = known
         return known
@@ -208,15 +208,16 @@ class BytePairCodec:
         return self._gather(ids, self.number_starts, self.number_widths, self.number_buffer)[:-1]
 
 
-_codecs: dict[str, BytePairCodec] = {}
+_codecs: dict[tuple[str, int], BytePairCodec] = {}
 CACHES["codecs"] = _codecs.clear
 
 
-def codec(rules: dict, key: str) -> BytePairCodec:
-    """One codec for each vocabulary in a Python worker, which outlives a task."""
-    if key not in _codecs:
-        _codecs[key] = BytePairCodec(rules)
-    return _codecs[key]
+def codec(rules, path: str, cached: int) -> BytePairCodec:
+    """One codec for each vocabulary in a Python worker, which outlives a task. rules: the broadcast of load_rules(), whose copy in the worker goes once the codec stands."""
+    if (path, cached) not in _codecs:
+        _codecs[path, cached] = BytePairCodec(rules.value, cached)
+        rules.__dict__.pop("_value", None)  # loaded again if another codec needs it
+    return _codecs[path, cached]
 
 
 def default_vocabulary() -> str:
@@ -225,9 +226,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text", id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text", id_col: str = "doc_id", with_ids: bool = False, cached: int = CACHED_PIECES) -> DataFrame:
     """Encode every whole text and decode it again.
 
+    cached: pieces of text whose ids a worker remembers at most; fewer take less memory and more time.
+
     Returns (id_col, n_tokens long, ids_sha256 string, decoded_sha256 string[, ids array<int>, decoded string]), one row for
     each row of docs. Null texts count as empty; null ids stay null; repeated rows give repeated rows; an empty table gives
     an empty table; other columns, whatever their names, are not read. No shuffle: one pass over the input.
@@ -239,7 +242,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_worker(keep="codecs")
-        own = codec(rules.value, path)
+        own = codec(rules, path, cached)
         for batch in batches:
             n, ids_hash, text_hash, kept, texts = [], [], [], [], []
             for raw in batch.column(1):
