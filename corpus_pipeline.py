@@ -48,7 +48,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256; one row for each row, null ids stay null."""
-    return encode_documents(docs)
+    return encode_documents(docs, cached=100_000)  # executors have memory in use from the stages before
 
 
 STAGES = [
