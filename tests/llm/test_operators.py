@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewheel.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, pii, quality, token_counts, toxicity, warc
+from tidewheel.llm import bpe, common, decontaminate, exact_dedup, html_text, jaccard_join, pii, quality, token_counts, toxicity, warc
 
 WORDS = "the of and to in is that it was for on are with as his they be at one have this from or had by hot word but what some we can out other were all there when up use your how said an each she".split()
 EMPTY = "doc_id long, text string"
@@ -69,6 +69,31 @@ def test_jaccard_join_equals_brute_force(spark):
     assert jaccard_join.ngram_components(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_jaccard_join_deals_hot_keys_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 3)
+    rows = corpus()
+    assert sorted(tuple(r) for r in jaccard_join.ngram_components(frame(spark, rows)).collect()) == components(rows)
+
+
+@pytest.mark.parametrize("hot", [2, 1_000_000])
+def test_connected(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT", hot)
+    links = [(10, k) for k in range(11, 40)] + [(k, k + 1) for k in range(50, 80)] + [(90, 90), (39, 9), (100, 102), (102, 101)]
+    found = common.connected(spark, spark.createDataFrame(links, "a long, b long"), common.Scratch(spark, "t"))
+    want = {k: 9 for k in range(9, 40)} | {k: 50 for k in range(50, 81)} | {k: 100 for k in range(100, 103)}
+    assert {r.node: r.label for r in found.collect()} == want
+    assert common.connected(spark, spark.createDataFrame([], "a long, b long"), common.Scratch(spark, "t")).count() == 0
+
+
+def test_spread_keeps_every_row(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 4)
+    left = spark.createDataFrame([(k % 3 if k < 90 else None, k) for k in range(100)] + [(0, 0)] * 5, "key int, x int")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (7, "c")], "key int, y string")
+    for how in ("inner", "left", "left_semi"):
+        got, want = common.spread(left, right, "key", how), left.join(right, "key", how)
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str), how
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_similar_sets_share_a_signature(seed):
     rnd = np.random.default_rng(seed)

@@ -142,26 +142,57 @@ def without(docs: DataFrame, losers: DataFrame, scratch: Scratch, name: str, key
     return docs.join(F.broadcast(gone) if small else gone, F.col(key) == F.col("__gone"), "left_anti")
 
 
+#: Rows of one key that a task of a join takes; a key with more is dealt over several tasks.
+HOT = 1_000_000
+
+
+def is_hot(rows: int | None) -> bool:
+    """Whether so many rows of one key are too many for a task."""
+    return (rows or 0) > HOT
+
+
+def spread(left: DataFrame, right: DataFrame, on: str, how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """left joined to right (one row for each key) on a key that a large part of left's rows may have.
+
+    Rows of a key with more than HOT rows are dealt by their hash over as many tasks as it takes, and the key's row of right
+    is repeated for each of them. counts: (on, n) of left where it is known already; at most 1 / HOT of left's rows are broadcast.
+    """
+    counts = left.groupBy(on).agg(F.count("*").alias("n")) if counts is None else counts
+    cuts = F.broadcast(counts.where(F.col("n") > HOT).select(F.col(on).alias("__hot"), F.ceil(F.col("n") / HOT).cast("int").alias("__cuts")))
+    dealt = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("__cuts")), F.lit(0)).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("__cuts", F.lit(1)) - 1))
+    one, two = (side.join(cuts, F.col(on) == F.col("__hot"), "left").withColumn("__salt", salt).drop("__hot", "__cuts") for side, salt in ((left, dealt), (right, each)))
+    return one.join(two, [on, "__salt"], how).drop("__salt")
+
+
 def connected(spark: SparkSession, links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """Components of undirected links (a long, b long): (node, label), label the smallest node reachable.
 
-    Min-label exchange with pointer jumping: each round every node takes the smallest label among its neighbours,
-    then the label of its label. Every round is a written table, so the plan stays short and the driver sees counts only.
-    A component of diameter d settles in about log2(d) rounds.
+    Min-label exchange with pointer jumping: each round every node takes the label of its label, then the smallest among its
+    neighbours. Every round is a written table, so the plan stays short and the driver sees counts only. A component of
+    diameter d settles in about log2(d) rounds. Hubs and labels that many nodes have are dealt over several tasks.
     """
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     edges = scratch.keep(both.where("u <> v").distinct(), f"{name}-edges")
-    now = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), f"{name}-0")
-    step = 0
+    now = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"), "n"), f"{name}-0")
+    degree = now.agg(F.max("n")).first()[0]  # links have both directions: a node's links out are those in
+    now, largest, step = now.select("node", "label"), None, 0
     while True:
-        near = edges.join(now, edges.v == now.node).groupBy("u").agg(F.min("label").alias("near"))
-        met = now.join(near, now.node == near.u, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
+        if largest is None:
+            largest = now.groupBy("label").count().agg(F.max("count")).first()[0] or 0
         to = now.select(F.col("node").alias("label"), F.col("label").alias("onward"))
-        new = met.join(to, "label", "left").select("node", "old", F.least("label", F.coalesce("onward", "label")).alias("label"))
+        led = spread(now, to, "label", "left") if is_hot(largest) else now.join(to, "label", "left")
+        led = led.select("node", F.col("label").alias("old"), F.least("label", F.coalesce("onward", "label")).alias("label"))
+        at = led.select(F.col("node").alias("v"), "label")
+        met = spread(edges, at, "v") if is_hot(degree) else edges.join(at, "v")
+        near = met.groupBy("u").agg(F.min("label").alias("near"))
+        new = led.join(near, led.node == near.u, "left").select("node", "old", F.least("label", F.coalesce("near", "label")).alias("label"))
         step += 1
         after = scratch.keep(new, f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
         now = after.select("node", "label")
-        if after.where("old <> label").isEmpty():
+        seen = after.groupBy("label").agg(F.count("*").alias("n"), F.max(F.col("old") != F.col("label")).alias("moved")).agg(F.max("n"), F.max("moved")).first()
+        largest = seen[0] or 0
+        if not seen[1]:
             scratch.drop(f"{name}-edges")
             return now

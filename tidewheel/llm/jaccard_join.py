@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import Scratch, byte_view, connected, lean_worker, slices, table, utf8
+from tidewheel.llm.common import Scratch, byte_view, connected, is_hot, lean_worker, slices, spread, table, utf8
 from tidewheel.llm.shingles import mix, set_id, shingle_sets
 
 #: First size of the second band; smaller sets use every shingle as a partition of its own.
@@ -349,10 +349,16 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
 
     spark = docs.sparkSession
     # partners first: in each run the set that meets most others, which is the likeliest centre of a group
-    met_by = shared.groupBy("signature").agg(F.count("*").alias("met"))
-    weight = scratch.keep(shared.join(met_by, "signature").groupBy("set").agg(F.sum("met").alias("weight")), "weight")
+    met_by = scratch.keep(shared.groupBy("signature").agg(F.count("*").alias("n")), "met-by")
+    hot = is_hot(met_by.agg(F.max("n")).first()[0])
+
+    def by_signature(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+        """rows, no more of a signature than shared has, joined to one row for each signature; a common signature isn't one task's work."""
+        return spread(rows, other, "signature", how, met_by) if hot else rows.join(other, "signature", how)
+
+    weight = scratch.keep(by_signature(shared, met_by).groupBy("set").agg(F.sum("n").alias("weight")), "weight")
     centre = shared.join(weight, "set").groupBy("signature").agg(F.max(F.struct("weight", "set")).alias("centre"))
-    nearest = shared.join(centre, "signature").where(F.col("set") != F.col("centre.set")).groupBy("set").agg(F.max("centre").alias("centre"))
+    nearest = by_signature(shared, centre).where(F.col("set") != F.col("centre.set")).groupBy("set").agg(F.max("centre").alias("centre"))
     none = F.lit(0.0).alias("slack")
     centred = near(likely(nearest.select(F.col("set").alias("a"), F.col("centre.set").alias("b"), none), "first"), "links-1")
     component = connected(spark, centred, scratch, "cc1")
@@ -369,9 +375,9 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     own = shared.join(component, F.col("set") == F.col("node"), "left").groupBy("signature", "set").agg(F.max("left").alias("left"), F.first(F.coalesce("label", "set")).alias("label"))
     own = scratch.keep(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
-    opened = own.join(split, "signature", "left_semi").join(classes.select("set", "n"), "set").join(star, F.col("set") == F.col("of"), "left")
+    opened = by_signature(own, split, "left_semi").join(classes.select("set", "n"), "set").join(star, F.col("set") == F.col("of"), "left")
     opened = scratch.keep(opened.select("signature", "set", "label", "left", "n", F.coalesce("hub", "set").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")), "opened")
-    scratch.drop("own", "weight", "first", "apart")
+    scratch.drop("own", "weight", "met-by", "first", "apart")
     scratch.release()
     # sets whose first common signature this is agree in what is left at most; where that is too little, another signature or none joins them
     enough = lambda x, y, p, q: F.least(x, y) * (num + den) >= (F.col(p) + F.col(q)) * num
@@ -419,7 +425,7 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int =
     scratch = Scratch(docs.sparkSession, "jaccard-join")
     members, classes, component = similar_sets(docs, scratch, width, num, den)
     named = component.join(classes, F.col("node") == F.col("set")).groupBy("label").agg(F.min("rep").alias("least"))
-    of = component.join(named, "label").select("node", "least")
+    of = spread(component, named, "label").select("node", "least")
     found = scratch.keep(classes.join(of, F.col("set") == F.col("node"), "left").select(F.col("set").alias("own"), F.coalesce("least", "rep").alias("component")), "found")
     scratch.drop("classes")
     full = members.where("n > 0").join(found, F.col("set") == F.col("own")).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
