@@ -7,6 +7,7 @@ import io
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -337,6 +338,16 @@ def test_toxicity_learns_from_votes(spark):
     assert toxicity.score_toxicity(frame(spark, rows), table.limit(0)).where("predicted = 1").count() == 0
 
 
+@pytest.mark.parametrize("operator, label", [(toxicity, "toxic"), (quality, "quality")])
+def test_training_rows_are_bounded_by_ids(spark, operator, label):
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
+    docs = frame(spark, [(k, t) for k in ids for t in ("b", "a", None, "c") * 5] + [(None, "d")])
+    labels = spark.createDataFrame([(k, y) for k in ids for y in (0, k % 2)] + [(None, 1)], f"doc_id long, {label} int")
+    texts, found = operator.training_rows(docs, labels, 10)
+    assert texts == [b""] * 10 and len(found) == 10
+    assert operator.training_rows(docs, labels, 1000)[1] == [k % 2 for k in ids]
+
+
 def test_toxicity_shouting_late_in_a_text_votes():
     texts = [b"", b"quiet " * 700 + b"SHOUT " * 7000, b"LOUD " * 900 + b"quiet " * 7000]
     votes = toxicity.votes_of(texts, np.zeros((3, 1), bool), np.ones(1))

@@ -96,8 +96,9 @@ class ConstantModel:
 def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[bytes], list[int]]:
     """At most `most` labelled rows outside the held-out fifth, smallest hashes of doc_id first."""
     learn = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = learn.select("doc_id", F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", utf8("text")).join(F.broadcast(sample), "doc_id").collect()
+    sample = learn.groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    found = docs.select("doc_id", utf8("text")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # one row an id, however often it is there
+    rows = found.collect()  # bounded by `most`
     rows.sort(key=lambda r: r.doc_id)
     return [bytes(r.text) for r in rows], [r.quality for r in rows]
 

@@ -193,8 +193,9 @@ def fit(texts: list[bytes], labels: list[int], max_features: int = 3_000) -> Tox
 def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[bytes], list[int]]:
     """A bounded sample of labelled rows outside the held-out fifth, the same on each run: smallest hashes of doc_id first. At most `most` rows."""
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = learn.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", utf8("text")).join(F.broadcast(sample), "doc_id").select("text", "toxic", "doc_id").collect()  # bounded by `most`
+    sample = learn.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    found = docs.select("doc_id", utf8("text")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # one row an id, however often it is there
+    rows = found.collect()  # bounded by `most`
     rows.sort(key=lambda r: r.doc_id)
     return [bytes(r.text) for r in rows], [r.toxic for r in rows]
 
