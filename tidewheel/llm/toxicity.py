@@ -81,24 +81,36 @@ def without_near_copies(texts: list[bytes]) -> np.ndarray:
     return keep
 
 
-def mine_lexicon(data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The `most` features whose presence speaks most clearly for label 1, and the documents that have each."""
-    pairs = []
+def features_by_text(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the features of consecutive texts, each once a text, a few texts at a time."""
     for first, last in slices(offsets, CHUNK):
         at = offsets[first : last + 1]
         own = Words(data[at[0] : at[-1]], at - at[0]).features()
-        hashes, text = np.concatenate([h for h, _ in own]), np.concatenate([t for _, t in own]) + first
+        hashes, text = np.concatenate([h for h, _ in own]), np.concatenate([t for _, t in own])
         order = np.lexsort((hashes, text))
         hashes, text = hashes[order], text[order]
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-        pairs.append((hashes[fresh], toxic[text[fresh]]))
-    hashes, label = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-    found, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    hit = np.bincount(inverse, label, len(found))
+        yield hashes[fresh]
+
+
+def mine_lexicon(texts: list[bytes], toxic: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` features whose presence speaks most clearly for label 1, and the documents of label 1 that have each.
+
+    A feature needs SUPPORT documents of label 1, so those are read first; the others only count what was found there.
+    """
+    bad = joined([t for t, y in zip(texts, toxic, strict=True) if y])
+    found, hit = np.unique(np.concatenate([np.zeros(0, np.uint64), *features_by_text(*bad)]), return_counts=True)
+    found, hit = found[hit >= SUPPORT], hit[hit >= SUPPORT]
+    if not len(found):
+        return found, hit
+    count = hit.copy()
+    for hashes in features_by_text(*joined([t for t, y in zip(texts, toxic, strict=True) if not y])):
+        at = np.minimum(np.searchsorted(found, hashes), len(found) - 1)
+        count += np.bincount(at[found[at] == hashes], minlength=len(found))
     rate = (toxic.sum() + 1) / (len(toxic) + 2)
     z = (hit - count * rate) / np.sqrt(count * rate * (1 - rate))
-    good = np.flatnonzero((hit >= SUPPORT) & (hit / count >= max(0.6, 3 * rate if rate < 0.25 else 0.75)) & (z > 6))
+    good = np.flatnonzero((hit / count >= max(0.6, 3 * rate if rate < 0.25 else 0.75)) & (z > 6))
     good = good[np.argsort(-z[good], kind="stable")][:most]
     return np.sort(found[good]), hit[good][np.argsort(found[good])]
 
@@ -178,13 +190,12 @@ def fit(texts: list[bytes], labels: list[int], max_features: int = 3_000) -> Tox
         return ToxicModel(np.zeros(0, np.uint64), np.zeros(0), -3.0)
     single = np.flatnonzero(without_near_copies(texts))
     texts, toxic = [texts[k] for k in single], toxic[single]
-    data, offsets = joined(texts)
-    features, strength = mine_lexicon(data, offsets, toxic, max_features)
+    features, strength = mine_lexicon(texts, toxic, max_features)
     share = min(0.4, max(0.01, toxic.mean()))
     if not len(features):
         return ToxicModel(features, np.zeros(0), float(np.log(share / (1 - share))))
     present = np.zeros((len(texts), len(features)), bool)
-    present[ToxicModel(features, np.zeros(len(features)), 0.0).hits(data, offsets)] = True
+    present[ToxicModel(features, np.zeros(len(features)), 0.0).hits(*joined(texts))] = True
     post = label_model(votes_of(texts, present, strength), share)
     weights, bias = fit_linear(present, post)
     return ToxicModel(features, weights.astype(float), min(bias, -0.5))
