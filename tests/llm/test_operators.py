@@ -8,6 +8,7 @@ import random
 import re
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -615,3 +616,50 @@ def test_quality_equals_brute_force(spark):
         others = (sum(by_path[h, p]) - got[k].evidence + k_p * host) / (len(by_path[h, p]) - 1 + k_p)
         score = 1 / (1 + np.exp(-(logit(got[k].evidence) + logit(others) - logit(mean))))
         assert (got[k].host_posterior, got[k].path_posterior, got[k].score) == pytest.approx((host, others, score), rel=1e-6)
+
+
+def files_below(spark, label):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    return {str(p) for p in Path(folder).glob(f"{label}-*/**/*") if p.is_file()}
+
+
+def test_scratch_tables_start_no_child_processes(spark):
+    """Spark's writer makes a .crc beside each file in a mounted folder, and Hadoop a child process of the executor for either."""
+    docs = spark.createDataFrame(corpus(), EMPTY)
+    before = files_below(spark, "decontaminate") | files_below(spark, "jaccard-join")
+    decontaminate.contamination(docs, spark.createDataFrame([(1, corpus()[0][1] or "one two three four five")], "item_id long, text string")).count()
+    assert files_below(spark, "decontaminate") <= before
+    jaccard_join.ngram_components(docs).count()
+    made = files_below(spark, "jaccard-join") - before
+    assert made and all(Path(f).name.startswith("part-") and f.endswith(".parquet") for f in made)
+
+
+def test_scratch_holds_rows_until_dropped(spark):
+    scratch, kept = common.Scratch(spark, "t"), spark.sparkContext._jsc.getPersistentRDDs
+    rows = scratch.hold(spark.range(100).withColumn("x", F.rand()), "x")
+    first, n = rows.collect(), len(kept())
+    spark.catalog.clearCache()
+    assert rows.collect() == first and len(first) == 100
+    scratch.drop("x")
+    assert len(kept()) == n - 1
+
+
+def test_scratch_reads_files_of_finished_attempts_only(spark):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    def twice(batches):
+        for batch in batches:
+            yield batch
+            yield batch.slice(0, 0)
+            yield batch
+
+    scratch = common.Scratch(spark, "t")
+    ids = spark.range(1000, numPartitions=3)
+    rows = scratch.made(ids, twice, "id long", "x")
+    folder = Path(scratch.root.removeprefix("file://"))
+    parquet.write_table(pa.table({"id": [7]}), folder / "x/part-lost.parquet")
+    assert sorted(r.id for r in rows.collect()) == sorted([*range(1000)] * 2)
+    assert scratch.made(ids.where("id < 0"), twice, "id long", "none").count() == 0
+    scratch.drop("x", "none")
+    assert not [p for p in folder.glob("**/*") if p.is_file()]

@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -51,10 +53,13 @@ class Scratch:
     """Tables that cut lineage: written once to the shared folder, so a lost executor costs no recomputation of what came before.
 
     They are removed when no later step reads them, and those that a result still reads when the driver's process ends.
+    Where the shared folder is a mounted one (file:), Hadoop starts a child process of the executor, chmod, for each file and
+    folder that a task of Spark's writer makes. hold() and made() start none.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = bounded(spark)
+        self.held: dict[str, DataFrame] = {}
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -69,6 +74,24 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def hold(self, df: DataFrame, name: str) -> DataFrame:
+        """A table of short rows as blocks on the local disks of two executors each; nothing makes it anew, so all steps read the same rows."""
+        self.held[name] = df.localCheckpoint(True, StorageLevel.DISK_ONLY_2)
+        return self.held[name]
+
+    def made(self, df: DataFrame, make, schema: str, name: str) -> DataFrame:
+        """keep(df.mapInArrow(make, schema), name), in a mounted folder by files that the Python workers write.
+
+        An attempt of a task writes a file of its own; only the files that finished tasks name are read.
+        """
+        if not self.root.startswith("file:"):
+            return self.keep(df.mapInArrow(make, schema), name)
+        rows = self.spark.createDataFrame([], schema)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+        names = [r.file for r in df.mapInArrow(_filed(make, self.path(name), to_arrow_schema(rows.schema)), "file string").collect()]  # one a task
+        return self.spark.read.schema(rows.schema).parquet(*names) if names else rows
+
     def release(self) -> None:
         """Let the driver notice that the plans of finished steps are garbage: Spark removes shuffle files only then."""
         gc.collect()
@@ -78,10 +101,44 @@ class Scratch:
         """Remove tables that no later read needs."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         for name in names:
+            if name in self.held:
+                self.held.pop(name)._jdf.queryExecution().analyzed().rdd().unpersist(False)
+                continue
             path = hadoop.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of a row group that a Python worker writes.
+GROUP = 4 << 20
+
+
+def _filed(make, folder: str, schema: pa.Schema):
+    """What make yields goes to one Parquet file of a new name in the folder; the task's row is that name, none without rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+
+        file, out, held, size = f"{folder}/part-{uuid.uuid4().hex}.parquet", None, [], 0
+        for batch in make(batches):
+            if not batch.num_rows:
+                continue
+            if out is None:
+                files, path = fs.FileSystem.from_uri(file)
+                out = parquet.ParquetWriter(path, schema, filesystem=files)
+            held.append(batch)
+            size += batch.nbytes
+            if size >= GROUP:
+                out.write_table(pa.Table.from_batches(held).select(schema.names).cast(schema))
+                held, size = [], 0
+        if held:
+            out.write_table(pa.Table.from_batches(held).select(schema.names).cast(schema))
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([file])], names=["file"])
+
+    return run
+
+
 #: What operators cache in a Python worker, which outlives tasks and operators: the cache by name, and the call that gives it back.
 CACHES: dict = {}
 
@@ -137,7 +194,7 @@ def without(docs: DataFrame, losers: DataFrame, scratch: Scratch, name: str, key
 
     Up to `few` losers (8 bytes each) are broadcast, so the texts stay where they are; more are met in a shuffled join.
     """
-    gone = scratch.keep(losers.toDF("__gone"), name)
+    gone = scratch.hold(losers.toDF("__gone"), name)
     small = gone.count() <= few
     return docs.join(F.broadcast(gone) if small else gone, F.col(key) == F.col("__gone"), "left_anti")
 
@@ -169,12 +226,12 @@ def connected(spark: SparkSession, links: DataFrame, scratch: Scratch, name: str
     """Components of undirected links (a long, b long): (node, label), label the smallest node reachable.
 
     Min-label exchange with pointer jumping: each round every node takes the label of its label, then the smallest among its
-    neighbours. Every round is a written table, so the plan stays short and the driver sees counts only. A component of
+    neighbours. Every round is a table of its own, so the plan stays short and the driver sees counts only. A component of
     diameter d settles in about log2(d) rounds. Hubs and labels that many nodes have are dealt over several tasks.
     """
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    edges = scratch.keep(both.where("u <> v").distinct(), f"{name}-edges")
-    now = scratch.keep(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"), "n"), f"{name}-0")
+    edges = scratch.hold(both.where("u <> v").distinct(), f"{name}-edges")
+    now = scratch.hold(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("node"), F.least("u", "m").alias("label"), "n"), f"{name}-0")
     degree = now.agg(F.max("n")).first()[0]  # links have both directions: a node's links out are those in
     now, largest, step = now.select("node", "label"), None, 0
     while True:
@@ -188,7 +245,7 @@ def connected(spark: SparkSession, links: DataFrame, scratch: Scratch, name: str
         near = met.groupBy("u").agg(F.min("label").alias("near"))
         new = led.join(near, led.node == near.u, "left").select("node", "old", F.least("label", F.coalesce("near", "label")).alias("label"))
         step += 1
-        after = scratch.keep(new, f"{name}-{step}")
+        after = scratch.hold(new, f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
         now = after.select("node", "label")
         seen = after.groupBy("label").agg(F.count("*").alias("n"), F.max(F.col("old") != F.col("label")).alias("moved")).agg(F.max("n"), F.max("moved")).first()

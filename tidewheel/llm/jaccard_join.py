@@ -319,11 +319,11 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
     scratch.release()
     met = texts.mapInArrow(_emitter(width, num, den, common), EMITTED).repartition("key").sortWithinPartitions("key")
-    staged = scratch.keep(met.mapInArrow(_meet, STAGED), "staged")
+    staged = scratch.made(met, _meet, STAGED, "staged")
     scratch.release()
     members = staged.where("kind = 1").select(F.col("b").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("set"))
     outline = staged.where("kind = 1 and c > 0").groupBy(F.col("a").alias("set")).agg(F.min("c").alias("n"), F.min("b").alias("rep"), F.min("cells").alias("cells"))
-    classes = scratch.keep(outline, "classes")
+    classes = scratch.hold(outline, "classes")
     shared = staged.where("kind = 2").select(F.col("c").alias("signature"), F.col("a").alias("set"), F.col("b").alias("pivot"), "left")
 
     def likely(pairs: DataFrame, name: str) -> DataFrame:
@@ -332,31 +332,31 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
         least = num - den * F.col("slack") - 1e-6
         fits = (F.col("n_a") * den >= F.col("n_b") * least) & (F.col("n_b") * den >= F.col("n_a") * least)
         known = pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "slack", "n_a", "n_b", "cells_a", "cells_b")
-        return scratch.keep(known.mapInArrow(_pruner(num, den), "a long, b long, slack double"), name)
+        return scratch.made(known, _pruner(num, den), "a long, b long, slack double", name)
 
     def near(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that are near enough with their distance, by their sets, which are made anew from the texts that are needed."""
         nodes = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-        wanted = scratch.keep(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), f"{name}-wanted")
+        wanted = scratch.hold(classes.join(nodes, "set", "left_semi").select(F.col("rep").alias("doc_id")), f"{name}-wanted")
         if wanted.count() <= few:  # 8 bytes each: small whatever the texts hold
             wanted = F.broadcast(wanted)
-        sets = scratch.keep(texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets_of(width), "set long, hashes binary"), f"{name}-sets")
+        sets = scratch.made(texts.join(wanted, "doc_id", "left_semi").select("text"), _sets_of(width), "set long, hashes binary", f"{name}-sets")
         one, two = (sets.select(F.col("set").alias(x), F.col("hashes").alias(y)) for x, y in ("ap", "bq"))
-        found = scratch.keep(pairs.join(one, "a").join(two, "b").select("a", "b", "slack", "p", "q").mapInArrow(_measured(num, den), "a long, b long, far double, links boolean"), name)
+        found = scratch.made(pairs.join(one, "a").join(two, "b").select("a", "b", "slack", "p", "q"), _measured(num, den), "a long, b long, far double, links boolean", name)
         scratch.drop(f"{name}-wanted", f"{name}-sets")
         scratch.release()
         return found
 
     spark = docs.sparkSession
     # partners first: in each run the set that meets most others, which is the likeliest centre of a group
-    met_by = scratch.keep(shared.groupBy("signature").agg(F.count("*").alias("n")), "met-by")
+    met_by = scratch.hold(shared.groupBy("signature").agg(F.count("*").alias("n")), "met-by")
     hot = is_hot(met_by.agg(F.max("n")).first()[0])
 
     def by_signature(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
         """rows, no more of a signature than shared has, joined to one row for each signature; a common signature isn't one task's work."""
         return spread(rows, other, "signature", how, met_by) if hot else rows.join(other, "signature", how)
 
-    weight = scratch.keep(by_signature(shared, met_by).groupBy("set").agg(F.sum("n").alias("weight")), "weight")
+    weight = scratch.hold(by_signature(shared, met_by).groupBy("set").agg(F.sum("n").alias("weight")), "weight")
     centre = shared.join(weight, "set").groupBy("signature").agg(F.max(F.struct("weight", "set")).alias("centre"))
     nearest = by_signature(shared, centre).where(F.col("set") != F.col("centre.set")).groupBy("set").agg(F.max("centre").alias("centre"))
     none = F.lit(0.0).alias("slack")
@@ -369,14 +369,14 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     component = grown(spark, component, led, scratch, "cc2")
     # stars: each set with a set that it links to and their distance; itself without one
     ties = centred.select("a", F.struct(F.lit(1).alias("step"), "far", F.col("b").alias("hub")).alias("to")).union(led.select("a", F.struct(F.lit(2), "far", "b")))
-    star = scratch.keep(ties.groupBy("a").agg(F.min("to").alias("to")).select(F.col("a").alias("of"), "to.hub", "to.far"), "stars")
+    star = scratch.hold(ties.groupBy("a").agg(F.min("to").alias("to")).select(F.col("a").alias("of"), "to.hub", "to.far"), "stars")
     scratch.release()
 
     own = shared.join(component, F.col("set") == F.col("node"), "left").groupBy("signature", "set").agg(F.max("left").alias("left"), F.first(F.coalesce("label", "set")).alias("label"))
-    own = scratch.keep(own, "own")
+    own = scratch.hold(own, "own")
     split = own.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("signature")
     opened = by_signature(own, split, "left_semi").join(classes.select("set", "n"), "set").join(star, F.col("set") == F.col("of"), "left")
-    opened = scratch.keep(opened.select("signature", "set", "label", "left", "n", F.coalesce("hub", "set").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")), "opened")
+    opened = scratch.hold(opened.select("signature", "set", "label", "left", "n", F.coalesce("hub", "set").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")), "opened")
     scratch.drop("own", "weight", "met-by", "first", "apart")
     scratch.release()
     # sets whose first common signature this is agree in what is left at most; where that is too little, another signature or none joins them
@@ -385,14 +385,14 @@ def similar_sets(docs: DataFrame, scratch: Scratch, width: int, num: int, den: i
     stars = opened.groupBy("signature", "label", "hub").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.max("left").alias("left"), F.max("far").alias("radius"))
     of = lambda x: stars.select(F.col("signature").alias(f"run_{x}"), F.col("label").alias(f"l{x}"), F.col("hub").alias(f"h{x}"), F.col("small").alias(f"s{x}"), F.col("large").alias(f"b{x}"), F.col("left").alias(f"r{x}"), F.col("radius").alias(f"d{x}"))
     meet = of("a").join(of("b"), (F.col("run_a") == F.col("run_b")) & (F.col("la") < F.col("lb")) & fit("ba", "sb") & fit("bb", "sa") & enough("ra", "rb", "sa", "sb"))
-    meet = scratch.keep(meet.select(F.col("run_a").alias("run"), "ha", "hb", "sb", "bb", "rb", (F.col("da") + F.col("db")).alias("reach")), "meet")
+    meet = scratch.hold(meet.select(F.col("run_a").alias("run"), "ha", "hb", "sb", "bb", "rb", (F.col("da") + F.col("db")).alias("reach")), "meet")
     hubs = meet.groupBy(F.col("ha").alias("a"), F.col("hb").alias("b")).agg(F.max("reach").alias("slack"))
     # distance is a metric: members of two stars link only where the hubs are near by their distances from the hubs
     span = near(likely(hubs, "hubs"), "links-3")
     component = grown(spark, component, span.where("links"), scratch, "cc3")
     one, two = (component.select(F.col("node").alias(f"h{x}"), F.col("label").alias(f"l{x}")) for x in "ab")
     span = span.select(F.col("a").alias("ha"), F.col("b").alias("hb"), (F.col("far") - (den - num) / den - 1e-9).alias("gap")).join(one, "ha", "left").join(two, "hb", "left")
-    span = scratch.keep(span.where(F.coalesce("la", "ha") != F.coalesce("lb", "hb")).select("ha", "hb", "gap"), "span")
+    span = scratch.hold(span.where(F.coalesce("la", "ha") != F.coalesce("lb", "hb")).select("ha", "hb", "gap"), "span")
     side = lambda x: opened.select(F.col("signature").alias(f"run_{x}"), F.col("hub").alias(f"of_{x}"), F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"r_{x}"), F.col("far").alias(f"far_{x}"))
     may = fit("n_a", "sb") & fit("bb", "n_a") & enough("r_a", "rb", "n_a", "sb")
     close = meet.join(span, ["ha", "hb"]).where("reach >= gap")
@@ -426,7 +426,7 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int =
     members, classes, component = similar_sets(docs, scratch, width, num, den)
     named = component.join(classes, F.col("node") == F.col("set")).groupBy("label").agg(F.min("rep").alias("least"))
     of = spread(component, named, "label").select("node", "least")
-    found = scratch.keep(classes.join(of, F.col("set") == F.col("node"), "left").select(F.col("set").alias("own"), F.coalesce("least", "rep").alias("component")), "found")
+    found = scratch.hold(classes.join(of, F.col("set") == F.col("node"), "left").select(F.col("set").alias("own"), F.coalesce("least", "rep").alias("component")), "found")
     scratch.drop("classes")
     full = members.where("n > 0").join(found, F.col("set") == F.col("own")).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
     return full.union(members.where("n = 0").select("doc_id", "n", F.col("doc_id")))
