@@ -140,13 +140,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    items = scratch.keep(item_windows(benchmark), "items")
+    items = scratch.hold(item_windows(benchmark), "items")
     widths = sorted(r.width for r in items.select("width").distinct().collect()) or [WIDTH]  # at most WIDTH numbers
     keys = items.select(F.col("window").alias("key")).distinct()
     looked_up, side_fits = fits(keys), fits(items, most=4 << 20)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("doc_id is not null")
     seen = own.select("doc_id", F.explode(let(words(F.col("text")), lambda raw: all_hashes(raw, widths))).alias("window")).select("doc_id", "window.key")
-    touched = scratch.keep(seen.join(F.broadcast(keys) if looked_up else keys, "key").select("doc_id").distinct(), "touched")
+    touched = scratch.hold(seen.join(F.broadcast(keys) if looked_up else keys, "key").select("doc_id").distinct(), "touched")
     again = F.broadcast(touched) if fits(touched) else touched
     found = own.join(again, "doc_id", "left_semi")
     detail = found.select("doc_id", words(F.col("text")).alias("raw")).select("doc_id", "raw", F.explode(all_hashes(F.col("raw"), widths)).alias("window")).select("doc_id", "raw", "window.*")
@@ -157,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     slots = F.transform(pairs, lambda z: F.struct(z["words"].alias("theirs"), z["doc_words"].alias("ours")))
     spots = F.filter(F.transform("named", lambda n, k: F.when(n, F.col("at") + k)), lambda k: k.isNotNull())
     same = F.col("words") == F.col("doc_words")
-    matched = scratch.keep(matched.select("doc_id", "item_id", "at", "exact", (F.col("doc_at") - F.col("at")).alias("shift"), same.alias("same"), F.arrays_zip(spots.alias("place"), slots.alias("slot")).alias("slots")), "matched")
+    matched = scratch.hold(matched.select("doc_id", "item_id", "at", "exact", (F.col("doc_at") - F.col("at")).alias("shift"), same.alias("same"), F.arrays_zip(spots.alias("place"), slots.alias("slot")).alias("slots")), "matched")
 
     slots = matched.select("doc_id", "item_id", "shift", F.explode("slots").alias("s"))
     key = ["doc_id", "item_id", "shift"]
@@ -178,7 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     best = rated.groupBy("doc_id").agg(
         F.max_by("item_id", F.struct("coverage", -F.col("item_id"))).alias("item_id"), F.max("coverage").alias("coverage"), F.count(F.when(F.col("coverage") >= coverage, 1)).alias("n_items")
     )
-    best = scratch.keep(best.withColumnRenamed("doc_id", "of"), "best")
+    best = scratch.hold(best.withColumnRenamed("doc_id", "of"), "best")
     scratch.drop("matched", "touched", "items")
     known = F.broadcast(best) if fits(best) else best
     return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(known, F.col("doc_id") == F.col("of"), "left").select(
